@@ -1,6 +1,6 @@
 """All queries of the core, and the SQL that gives the same rows."""
 
-from driftmill.plans import problems
+from driftmill.plans import corpus, problems
 
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
+QUERIES = {**corpus.QUERIES, **problems.QUERIES}
+SQL = {**corpus.SQL, **problems.SQL}
