@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftmill.functions.text import json_integer
-
 
 def histogram(df: DataFrame, column: str, name: str = "status") -> DataFrame:
     """Rows of each value; null counts as the empty text."""
@@ -54,9 +52,12 @@ REACTIONS = {2: "like", 3: "fire", 4: "dislike", 5: "love", 6: "anger", 7: "shoc
 
 def reactions(df: DataFrame, keys: list[str], json: str) -> DataFrame:
     """Counts by reaction of a JSON list of (emotionId, count), the last of each id, and their total."""
-    items = F.filter(F.transform(F.from_json(F.col(json), "array<string>"), lambda x: F.struct(json_integer(x, "$.emotionId").alias("id"), json_integer(x, "$.count").alias("n"))), lambda x: x["n"].isNotNull())
+    whole = lambda v: F.when(v.rlike(r"^\s*-?\d+(\.0+)?\s*$"), F.regexp_extract(v, r"-?\d+", 0).try_cast("bigint"))
+    told = F.from_json(F.col(json), "array<struct<emotionId: string, count: string>>")
+    items = F.filter(F.transform(told, lambda x: F.struct(whole(x["emotionId"]).alias("id"), whole(x["count"]).alias("n"))), lambda x: x["n"].isNotNull())
     rows = df.select(*keys, items.alias("__i"))
-    counts = [F.coalesce(F.try_element_at(F.filter("__i", lambda x, i=i: x["id"] == i), F.lit(-1))["n"], F.lit(0)).alias(f"reaction_{name}_count") for i, name in REACTIONS.items()]
+    last = lambda i: F.try_element_at(F.filter("__i", lambda x: x["id"] == i), F.lit(-1))["n"]
+    counts = [F.coalesce(last(i), F.lit(0)).alias(f"reaction_{name}_count") for i, name in REACTIONS.items()]
     out = rows.select(*keys, *counts)
     return out.withColumn("reaction_total", sum((F.col(f"reaction_{n}_count") for n in REACTIONS.values()), F.lit(0)).cast("bigint"))
 
