@@ -30,10 +30,10 @@ def score_bin(score: Column) -> Column:
 
 
 def thresholds(df: DataFrame, group: str, score: str, n: int) -> DataFrame:
-    """Lowest bin that each group needs so that at least n of its rows survive: columns group, least."""
+    """Lowest bin that each group needs so that at least n of its rows survive: columns group, __least."""
     counts = df.groupBy(F.col(group), score_bin(F.col(score)).alias("bin")).agg(F.count("*").alias("rows"))
     above = F.sum("rows").over(Window.partitionBy(group).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1))
-    return counts.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < n).groupBy(group).agg(F.min("bin").alias("least"))
+    return counts.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < n).groupBy(group).agg(F.min("bin").alias("__least"))
 
 
 def top_n(df: DataFrame, group: str, score: str, ties: list[str], n: int, place: str = "place") -> DataFrame:
@@ -49,7 +49,7 @@ def top_n(df: DataFrame, group: str, score: str, ties: list[str], n: int, place:
         kept = salted.join(least, salted[group].eqNullSafe(least["__group"]) & (salted["__salt"] == least["__salt"])).drop(least["__salt"]).drop("__salt")
     else:
         kept = df.join(hinted, df[group].eqNullSafe(hinted["__group"]))
-    kept = kept.where(score_bin(F.col(score)) >= F.col("least")).select(*df.columns)
+    kept = kept.where(score_bin(F.col(score)) >= F.col("__least")).select(*df.columns)
     order = [F.desc_nulls_last(c) for c in (score, *ties)]
     return kept.withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("bigint")).where(F.col(place) <= n)
 
