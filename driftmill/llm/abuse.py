@@ -36,10 +36,11 @@ CATEGORIES = ("abusive", "hateful", "sexual")
 #: The categories, and all of them as one, for wording that lies between them.
 SCORES = (*CATEGORIES, "any")
 #: Share of all sentences that is taken to be of a category; labelled rows read at most; times a word or pair must stand in labelled texts to be a feature.
-PRIOR = {"abusive": 0.015, "hateful": 0.01, "sexual": 0.01, "any": 0.03}
+PRIOR = {"abusive": 0.01, "hateful": 0.004, "sexual": 0.004, "any": 0.015}
 #: Words of fewer letters are features only beside a longer one.
 LEAST_LETTERS = 4
 MAX_LABELS, MIN_TIMES = 200_000, 3
+MISLABELLED = 1
 ROUNDS, STEPS, RATE, L2, L2_WORDS = 3, 250, 0.3, 2e-4, 1e-2
 THRESHOLD = 0.5
 
@@ -198,17 +199,17 @@ def features(sentence: str, reader: Reader, vocabulary: dict[str, int] | None =
             continue
         if groups := groups_of(t, known):
             for g in groups:
-                if quoted and g in _SUBJECT_SET:
-                    out.add(f"{g} in quotes")
-                    if g == "insult":
-                        continue  # said, not meant, unless it also stands outside
+                if quoted:  # said, not meant, unless it also stands outside
+                    if g in _SUBJECT_SET:
+                        out.add(f"{g} in quotes")
+                    continue
                 if g in seen:
                     twice.add(g)
                 seen.add(g)
         words.append(t)
     subjects = seen & _SUBJECT_SET
     if subjects or out:
-        out |= seen
+        out |= seen - subjects
         out |= {f"{a} twice" for a in twice & subjects}
         for a in subjects:
             out |= {f"{a} with {b}" for b in _USES if b in seen and b != a}
@@ -301,6 +302,9 @@ class Space:
         l2[0] = 0.0
         all_rows = rows + self.none
         u = Rows(list(all_rows), list(all_rows.values()))
+        none: Counter[tuple[int, ...]] = Counter()
+        for r, n in self.none.items():
+            none[tuple(i for i in r if 0 < i < self.groups)] += n
         weights = {}
         for c in SCORES:
             bags = self.bags[c]
@@ -309,6 +313,11 @@ class Space:
                 continue
             # to begin with, the sentence with the most wording groups is the confirmed one
             picked = [max(b, key=lambda r: (sum(i in self.subjects for i in r), sum(i < self.groups for i in r))) for b in bags]
+            # a wrong label: wording groups that stand at least MISLABELLED times as often in texts labelled none
+            use = lambda r: tuple(i for i in r if 0 < i < self.groups)
+            confirmed = Counter(map(use, picked))
+            bags = [b for b, r in zip(bags, picked, strict=True) if not use(r) or none[use(r)] < MISLABELLED * confirmed[use(r)]] or bags
+            picked = [r for r in picked if not use(r) or none[use(r)] < MISLABELLED * confirmed[use(r)]] or picked
             w = None
             for _ in range(ROUNDS):
                 w = train_nnpu(Rows(picked), u, self.size, prior[c], l2, w)
