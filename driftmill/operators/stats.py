@@ -76,9 +76,9 @@ def contiguity(df: DataFrame, key: str) -> DataFrame:
 def gaps(df: DataFrame, key: str, buckets: int = 64) -> DataFrame:
     """Holes in a sequence of ids: after, gap (missing ids). Ids are compared within ranges, and ranges at their ends, so no window spans all rows."""
     ids = df.select(F.col(key).cast("bigint").alias("id")).where("id IS NOT NULL").distinct()
-    bounds = ids.agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    width = F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / buckets))
-    placed = ids.crossJoin(F.broadcast(bounds)).select("id", F.floor((F.col("id") - F.col("lo")) / width).cast("bigint").alias("b"))  # one row of bounds
+    lo, hi = ids.agg(F.min("id"), F.max("id")).first()
+    width = 1 if lo is None else max(1, -(-(hi - lo + 1) // buckets))
+    placed = ids.select("id", F.floor((F.col("id") - F.lit(lo or 0)) / F.lit(width)).cast("bigint").alias("b"))
     inner = placed.select(F.lag("id").over(Window.partitionBy("b").orderBy("id")).alias("after"), "id").where("after IS NOT NULL")
     ends = placed.groupBy("b").agg(F.min("id").alias("first"), F.max("id").alias("last"))  # at most one row a bucket
     across = ends.select(F.lag("last").over(Window.orderBy("b")).alias("after"), F.col("first").alias("id")).where("after IS NOT NULL")

@@ -91,8 +91,8 @@ def envelopes(spark: SparkSession, path: str, record: str) -> DataFrame:
 
 def last_page(df: DataFrame, page: str, n: str) -> DataFrame:
     """Pages before the first empty one; a short page does not end the data."""
-    end = df.where(F.col(n) == 0).agg(F.min(page).alias("__end"))  # one row
-    return df.join(F.broadcast(end), (F.col(page) < F.col("__end")) | F.col("__end").isNull()).drop("__end")
+    end = df.where(F.col(n) == 0).agg(F.min(page)).first()[0]
+    return df if end is None else df.where(F.col(page) < F.lit(end))
 
 
 def raw_page_rows(files: DataFrame, dataset: str, inventory: DataFrame) -> DataFrame:
