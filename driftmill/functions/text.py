@@ -93,7 +93,7 @@ def clean_url(url: Column | str) -> Column:
 
 
 def url_path(url: Column | str) -> Column:
-    return F.regexp_extract(clean_url(url), r"^[a-zA-Z][\w+.-]*://[^/?#]*(/.*)?$", 1)
+    return F.regexp_extract(clean_url(url), r"^(?:[a-zA-Z][\w+.-]*://[^/?#]*)?(/.*)?$", 1)
 
 
 def url_host(url: Column | str) -> Column:
