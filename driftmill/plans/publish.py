@@ -196,3 +196,38 @@ def cached(spark: SparkSession, path: str, inventory: str, code: str) -> dict |
     """The manifest of an earlier result, if inventory and code are the same and the table is still sound."""
     manifest = json.loads(Store(spark, path).read(f"{path}/_manifest.json") or "null")
     return manifest if manifest and manifest.get("inventory") == inventory and manifest.get("code") == code and not verify(spark, path) else None
+
+
+def export_tsv(df: DataFrame, path: str, keys: list[str]) -> None:
+    """A folder of TSV files in order of the keys, every text on one line: white space collapsed, blanks for null."""
+    from driftmill.functions.text import collapse
+
+    clean = df.orderBy(*keys).select(*(collapse(F.col(f.name).cast("string")).alias(f.name) for f in df.schema))
+    clean.write.mode("errorifexists").options(sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="").csv(path)
+
+
+def export_json_lines(df: DataFrame, path: str, keys: list[str], *, keep_nulls: bool, files: int = 1) -> None:
+    """Gzip JSON Lines in order of the keys, fields in the table's order; keep_nulls writes null fields too."""
+    (df.repartitionByRange(files, *keys) if files > 1 else df.coalesce(1)).sortWithinPartitions(*keys).write.mode("errorifexists").options(compression="gzip", ignoreNullFields=str(not keep_nulls).lower()).json(path)
+
+
+def pending(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Rows whose key a target doesn't hold yet; all of them before the target exists."""
+    spark = df.sparkSession
+    return df.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti") if Store(spark, path).exists(path) else df
+
+
+def manifest_problems(manifest: dict, contract: dict[str, object], counts: dict[str, tuple[str, ...]] | None = None) -> list[str]:
+    """What a manifest breaks: values it must have (a type, or the value itself), and totals that must equal the sum of other entries."""
+    wrong = []
+    for key, want in contract.items():
+        have = manifest.get(key)
+        if isinstance(want, type):
+            if not isinstance(have, want) or (want is int and (isinstance(have, bool) or have < 0)):
+                wrong.append(f"{key} is no {want.__name__}")
+        elif have != want:
+            wrong.append(f"{key} is {have!r}, not {want!r}")
+    for total, parts in (counts or {}).items():
+        if all(isinstance(manifest.get(k), int) for k in (total, *parts)) and manifest[total] != sum(manifest[k] for k in parts):
+            wrong.append(f"{total} isn't the sum of {', '.join(parts)}")
+    return wrong

@@ -107,3 +107,65 @@ def raw_page_rows(files: DataFrame, dataset: str, inventory: DataFrame) -> DataF
 def marked(content: str, marker: bytes, within: int = 32_768):
     """Whether a byte marker stands near the beginning of a page."""
     return F.contains(F.substring(F.col(content), 1, within), F.lit(bytearray(marker)))
+
+
+def review_folders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Folders ``<letter?><id>-<slug>`` of numbered pages, empty ones too, and what is wrong below them.
+
+    First: anime_id, slug, pages (sorted numbers), missing (numbers between 1 and the last that are not there), bytes.
+    Second: path with reason bad_folder, bad_page or repeated_id.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = spark.createDataFrame([(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(root)], "name string, is_folder boolean")
+    named = folders.withColumn("anime_id", F.regexp_extract("name", r"^[A-Za-z]?(\d+)-.+$", 1).try_cast("bigint"))
+    again = named.where("is_folder AND anime_id IS NOT NULL").groupBy("anime_id").agg(F.collect_list("name").alias("n")).where(F.size("n") > 1)
+    below = listing(spark, folder).withColumn("name", F.regexp_extract("path", "^([^/]+)/", 1)).withColumn("page", F.regexp_extract("path", r"^[^/]+/(\d+)\.json$", 1).try_cast("bigint"))
+    wrong = (
+        named.where("NOT is_folder OR anime_id IS NULL").select(F.col("name").alias("path"), F.lit("bad_folder").alias("reason"))
+        .unionByName(below.where("page IS NULL AND name <> ''").select("path", F.lit("bad_page").alias("reason")))
+        .unionByName(again.select(F.explode("n").alias("path"), F.lit("repeated_id").alias("reason")))
+    )
+    counted = below.where("page IS NOT NULL").groupBy("name").agg(F.array_sort(F.collect_set("page")).alias("pages"), F.sum("length").alias("bytes"))
+    good = named.where("is_folder AND anime_id IS NOT NULL").join(counted, "name", "left").withColumn("pages", F.coalesce("pages", F.array().cast("array<bigint>")))
+    full = F.when(F.size("pages") > 0, F.sequence(F.lit(1).cast("bigint"), F.array_max("pages"))).otherwise(F.array().cast("array<bigint>"))
+    return good.select("anime_id", F.col("name").alias("slug"), "pages", F.array_except(full, "pages").alias("missing"), F.coalesce("bytes", F.lit(0)).alias("bytes")), wrong
+
+
+def manifest(spark: SparkSession, path: str, required: tuple[str, ...] = ("filename", "url", "sources")) -> DataFrame:
+    """A TSV manifest that must have at least the required columns; other columns stay, sources becomes a list."""
+    df = spark.read.options(sep="\t", header=True, quote="\u0000", maxCharsPerColumn=-1).csv(path)  # all text: no types are inferred
+    if lacking := [c for c in required if c not in df.columns]:
+        raise ValueError(f"the manifest lacks {lacking}")
+    return df.withColumn("sources", F.filter(F.split(F.coalesce("sources", F.lit("")), ","), lambda v: v != "")) if "sources" in df.columns else df
+
+
+def inventory(files: DataFrame, listed: DataFrame, name: str = "filename") -> DataFrame:
+    """Files (source_file) joined to the list that names them by their last path part; either side missing is an error that names five of each."""
+    from driftmill.operators.match import coverage
+
+    own = files.withColumn(name, F.regexp_extract("source_file", r"([^/]+)$", 1))
+    state = coverage(listed, own, name)
+    bad = {s: [r[0] for r in state.where(F.col("state") == s).orderBy(name).limit(5).collect()] for s in ("missing", "extra")}
+    if any(bad.values()):
+        raise ValueError(f"files and list differ: {bad}")
+    return own.join(listed, name)
+
+
+def page_kind(url, kinds: dict[str, str]):
+    """Kind of a page by the first part of its address's path; an unknown one is an error that names the address."""
+    from driftmill.functions.text import url_path
+
+    u = F.col(url) if isinstance(url, str) else url
+    out = None
+    for prefix, kind in kinds.items():
+        fits = url_path(u).startswith(prefix)
+        out = F.when(fits, kind) if out is None else out.when(fits, kind)
+    unknown = F.raise_error(F.concat(F.lit("no kind for "), F.coalesce(u, F.lit("null")))).cast("string")
+    return unknown if out is None else out.otherwise(unknown)
+
+
+def excluded(df: DataFrame, exclusions: DataFrame, *keys: str) -> DataFrame:
+    """Rows that a list of exclusions doesn't name."""
+    return df.join(exclusions.select(*keys).distinct(), list(keys), "left_anti")
