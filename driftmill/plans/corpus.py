@@ -370,7 +370,10 @@ def devalue_decode(spark: SparkSession, sf: str) -> DataFrame:
         out[0] = {"data": put(value)}
         return json.dumps(out, ensure_ascii=False)
 
-    told = F.udf(flat, "string")
+    @F.pandas_udf("string")
+    def told(x: pd.Series) -> pd.Series:
+        return x.map(flat)
+
     return table(spark, sf, "news").select("source_id", "source_file", dv.devalue(told("nuxt_news"), "data").alias("x")).select("source_id", "source_file", "x.value", "x.error")
 
 
