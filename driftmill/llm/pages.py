@@ -32,6 +32,7 @@ _NAMED = re.compile(r"\b(?:id|class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(\S+))
 INLINE = frozenset("a b i em strong span sup sub code u small mark".split())
 UNSEEN = frozenset("script style noscript template head title svg iframe object select textarea canvas audio video datalist".split())
 RAW = frozenset("script style noscript template title iframe textarea".split())
+_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK_STARTS = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: A start tag closes these open tags, looking up no further than the second set.
@@ -84,8 +85,10 @@ def parse(text: str) -> tuple[Node, list[Block], str]:
     def flush() -> None:
         nonlocal links
         if parts:
-            seen = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
-            if seen:
+            seen = "".join(parts)
+            if "&" in seen:
+                seen = entities.unescape(seen)
+            if seen := " ".join(seen.split()):
                 blocks.append(Block(seen, min(links, len(seen)), home))
             parts.clear()
         links = 0
@@ -152,7 +155,7 @@ def parse(text: str) -> tuple[Node, list[Block], str]:
         node.first = len(blocks)
         now.children.append(node)
         if tag in RAW:
-            stop = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(text, at)
+            stop = _ENDS[tag].search(text, at)
             if tag == "title" and not title:
                 title = _SPACE.sub(" ", entities.unescape(text[at : stop.start() if stop else end])).strip()
             at = stop.end() if stop else end
@@ -320,12 +323,16 @@ def page_bodies(df: DataFrame, url: str = "url", data: str = "html") -> DataFram
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                titles, bodies = [], []
+                titles, ends, tags, texts = [], [0], [], []
                 for raw in part.column(1).to_pylist():
                     root, blocks, title = parse(decode(raw))
                     titles.append(title)
-                    bodies.append([{"tag": b.node.tag, "text": b.text} for b in body(root, blocks)[1]])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(titles, pa.string()), pa.array(bodies, kind)], names=[url, "title", "blocks"])
+                    own = body(root, blocks)[1]
+                    tags += [b.node.tag for b in own]
+                    texts += [b.text for b in own]
+                    ends.append(len(texts))
+                rows = pa.StructArray.from_arrays([pa.array(tags, pa.string()), pa.array(texts, pa.string())], fields=list(kind.value_type))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(titles, pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)], names=[url, "title", "blocks"])
 
     return spread(df.select(url, data)).mapInArrow(run, f"`{url}` string, title string, blocks array<struct<tag: string, text: string>>")
 
