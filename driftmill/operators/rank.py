@@ -1,10 +1,12 @@
-"""De-duplication, ranking and checks of order, all as windows and aggregates."""
+"""De-duplication, ranking and checks of order, none of which gathers a whole group in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftmill.operators.order import placed, with_previous
+
 
 def content_hash(df: DataFrame, ignore: list[str]) -> Column:
     """Hash of a row's content without its provenance columns."""
@@ -24,34 +26,36 @@ def _orderable(kind) -> bool:
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Of rows with equal keys the first by the order columns."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    best = F.min_by(F.struct(*order, *rest), F.struct(*order))
+    return df.groupBy(*keys).agg(best.alias("__best")).select(*(F.col(c) if c in keys else F.col("__best")[c].alias(c) for c in df.columns))
 
 
 def duplicates(df: DataFrame, keys: list[str], order: list[str], ignore: list[str]) -> DataFrame:
     """Number of repeated rows, and of repeats whose content differs from the occurrence before them: duplicates, conflicts."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    before = F.lag("__h").over(w)
-    return df.select(*keys, *(c for c in order if c not in keys), content_hash(df, ignore).alias("__h")).select(before.alias("b"), "__h").agg(
-        F.count("b").alias("duplicates"), F.coalesce(F.sum((F.col("b") != F.col("__h")).cast("bigint")), F.lit(0)).alias("conflicts")
-    )
+    rows = df.select(*keys, *(c for c in order if c not in keys), content_hash(df, ignore).alias("__h"))
+    pairs = with_previous(rows, keys, [F.col(c) for c in order], F.col("__h"), "__b")
+    return pairs.agg(F.count("__b").alias("duplicates"), F.coalesce(F.sum((F.col("__b") != F.col("__h")).cast("bigint")), F.lit(0)).alias("conflicts"))
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
     """Rows with their place within the group, from 1."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
+    return placed(df, group, order, name)
+
+
+def top(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
+    """The first n rows of every group; Spark keeps n of every partial sort before the shuffle."""
+    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("__n") <= n).drop("__n")
 
 
 def rank_breaks(df: DataFrame, group: list[str], rank: str) -> DataFrame:
     """Rows whose stored rank isn't the one before plus one (1 for the first): the group, the rank, what came before."""
-    before = F.lag(rank).over(Window.partitionBy(*group).orderBy(rank))
-    return df.select(*group, rank, before.alias("previous")).where(F.col(rank) != F.coalesce(F.col("previous"), F.lit(0)) + 1)
+    return with_previous(df.select(*group, rank), group, [F.col(rank)], F.col(rank), "previous").where(F.col(rank) != F.coalesce(F.col("previous"), F.lit(0)) + 1)
 
 
 def order_breaks(df: DataFrame, group: list[str], by: list[str], keys: list[str]) -> DataFrame:
     """Rows whose key struct, in the stored order, isn't below that of the row before (strictly falling expected)."""
-    before = F.lag(F.struct(*keys)).over(Window.partitionBy(*group).orderBy(*by))
-    return df.withColumn("__before", before).where(F.col("__before").isNotNull() & (F.struct(*keys) >= F.col("__before"))).drop("__before")
+    return with_previous(df, group, [F.col(c) for c in by], F.struct(*keys), "__before").where(F.col("__before").isNotNull() & (F.struct(*keys) >= F.col("__before"))).drop("__before")
 
 
 def capped_count(df: DataFrame, group: list[str], cap: int) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftmill.operators.order import with_previous
+
 
 def histogram(df: DataFrame, column: str, name: str = "status") -> DataFrame:
     """Rows of each value; null counts as the empty text."""
@@ -73,16 +75,10 @@ def contiguity(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.min(key).alias("first_id"), F.max(key).alias("last_id"), F.count_distinct(key).alias("ids")).withColumn("contiguous", F.col("last_id") - F.col("first_id") + 1 == F.col("ids"))
 
 
-def gaps(df: DataFrame, key: str, buckets: int = 64) -> DataFrame:
-    """Holes in a sequence of ids: after, gap (missing ids). Ids are compared within ranges, and ranges at their ends, so no window spans all rows."""
+def gaps(df: DataFrame, key: str) -> DataFrame:
+    """Holes in a sequence of ids: after, gap (missing ids)."""
     ids = df.select(F.col(key).cast("bigint").alias("id")).where("id IS NOT NULL").distinct()
-    lo, hi = ids.agg(F.min("id"), F.max("id")).first()
-    width = 1 if lo is None else max(1, -(-(hi - lo + 1) // buckets))
-    placed = ids.select("id", F.floor((F.col("id") - F.lit(lo or 0)) / F.lit(width)).cast("bigint").alias("b"))
-    inner = placed.select(F.lag("id").over(Window.partitionBy("b").orderBy("id")).alias("after"), "id").where("after IS NOT NULL")
-    ends = placed.groupBy("b").agg(F.min("id").alias("first"), F.max("id").alias("last"))  # at most one row a bucket
-    across = ends.select(F.lag("last").over(Window.orderBy("b")).alias("after"), F.col("first").alias("id")).where("after IS NOT NULL")
-    return inner.unionByName(across).where("id > after + 1").select("after", (F.col("id") - F.col("after") - 1).alias("gap"))
+    return with_previous(ids, [], [F.col("id")], F.col("id"), "after").where("id > after + 1").select("after", (F.col("id") - F.col("after") - 1).alias("gap"))
 
 
 def missing_numbers(df: DataFrame, group: list[str], number: str) -> DataFrame:
@@ -95,10 +91,10 @@ def missing_numbers(df: DataFrame, group: list[str], number: str) -> DataFrame:
 def fingerprint(df: DataFrame, path: str, digest: str) -> DataFrame:
     """Digest of a tree of files, from their paths and digests in order of path: files, digest.
 
-    Digests are first folded by the first two hex digits of the path's own hash, so that no task sees more than a part of
-    a very large tree, and the 256 folds, in order, give the result.
+    Digests are first folded by the first three hex digits of the path's own hash, so that no task sees more than a part
+    of a very large tree, and the 4096 folds, in order, give the result.
     """
-    fold = F.substring(F.sha2(F.col(path), 256), 1, 2)
+    fold = F.substring(F.sha2(F.col(path), 256), 1, 3)
     one = lambda rows: F.sha2(F.array_join(F.transform(F.array_sort(rows), lambda r: F.concat_ws("\t", r["p"], r["d"])), "\n"), 256)
     parts = df.groupBy(fold.alias("p")).agg(F.collect_list(F.struct(F.col(path).alias("p"), F.col(digest).alias("d"))).alias("r"), F.count("*").alias("n")).select("p", one(F.col("r")).alias("d"), "n")
     return parts.agg(F.sum("n").alias("files"), one(F.collect_list(F.struct("p", "d"))).alias("digest"))

@@ -83,7 +83,7 @@ def capped_count(spark: SparkSession, sf: str) -> DataFrame:
 def topk_per_group(spark: SparkSession, sf: str) -> DataFrame:
     """The 50 longest documents of each source; Spark keeps 50 of every partial sort before the shuffle."""
     d = table(spark, sf, "documents").select("source", "doc_id", "n_chars")
-    return rank.ranked(d, ["source"], [F.desc("n_chars"), F.asc("doc_id")], "n").where("n <= 50").drop("n")
+    return rank.top(d, ["source"], [F.desc("n_chars"), F.asc("doc_id")], 50)
 
 
 @query("SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
@@ -161,7 +161,7 @@ def content_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-@query(f"""WITH f AS (SELECT DISTINCT meta.source_file AS p, sha256(html) AS d FROM raw_pages), b AS (SELECT substr(sha256(p), 1, 2) AS q, sha256(string_agg(p || chr(9) || d, chr(10) ORDER BY p, d)) AS e, count(*) AS n FROM f GROUP BY 1)
+@query(f"""WITH f AS (SELECT DISTINCT meta.source_file AS p, sha256(html) AS d FROM raw_pages), b AS (SELECT substr(sha256(p), 1, 3) AS q, sha256(string_agg(p || chr(9) || d, chr(10) ORDER BY p, d)) AS e, count(*) AS n FROM f GROUP BY 1)
 SELECT CAST(sum(n) AS BIGINT) AS files, sha256(string_agg(q || chr(9) || e, chr(10) ORDER BY q)) AS digest FROM b""")
 def tree_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return stats.fingerprint(table(spark, sf, "raw_pages").select(F.col("meta.source_file").alias("p"), F.sha2("html", 256).alias("d")).distinct(), "p", "d")

@@ -1,12 +1,13 @@
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from driftmill import schemas
 from driftmill.functions import text
-from driftmill.operators import devalue, htmldom, match, quality, rank, stats
+from driftmill.operators import devalue, htmldom, match, order, quality, rank, stats
 from driftmill.operators import html as page
 from driftmill.plans import publish as pub
 from driftmill.sources import files
@@ -45,6 +46,24 @@ def test_rank_and_dedup(spark, rows):
     assert rows(rank.stops(listing, ["tag"], "page", "urls")) == {("t", 3)}
 
 
+def test_places_and_neighbours_of_large_groups(spark, rows):
+    """A group that lies in many chunks is ranked as if it were in one."""
+    rng = random.Random(8)
+    data = [(rng.choice([None, 1, 1, 1, 1, 2]), rng.randrange(50), i, rng.choice([None, "x", "y"])) for i in range(3000)]
+    df = spark.createDataFrame(data, "g int, v int, i int, t string")
+    by = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, -r[1], r[2]))
+    places, before, n, last = set(), set(), 0, None
+    for k, r in enumerate(by):
+        first = k == 0 or by[k - 1][0] != r[0]
+        n, last = (1, None) if first else (n + 1, by[k - 1][3])
+        places.add((r[2], n))
+        before.add((r[2], last))
+    order_ = [F.desc("v"), F.asc("i")]
+    assert rows(order.placed(df, ["g"], order_, "p").select("i", "p")) == places
+    assert rows(order.with_previous(df, ["g"], order_, F.col("t"), "b").select("i", "b")) == before
+    assert order.placed(df.limit(0), ["g"], order_, "p").count() == 0
+
+
 def test_running_winner_conflicts(spark):
     """Each occurrence is compared with the one before it, not with the last."""
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "a"), (1, 4, "a")], "id int, page int, body string")
@@ -74,7 +93,7 @@ def test_statistics(spark, rows):
     e = spark.createDataFrame([(1, '[{"emotionId":2,"count":4},{"emotionId":"2","count":"5"},{"emotionId":9,"count":1}]')], "id int, e string")
     assert stats.reactions(e, ["id"], "e").first()["reaction_total"] == 5
     ids = spark.createDataFrame([(i,) for i in (1, 2, 5, 5, 9)], "id int")
-    assert rows(stats.gaps(ids, "id", 3)) == {(2, 2), (5, 3)} and stats.contiguity(ids, "id").first()["contiguous"] is False
+    assert rows(stats.gaps(ids, "id")) == {(2, 2), (5, 3)} and stats.contiguity(ids, "id").first()["contiguous"] is False
     assert rows(stats.missing_numbers(spark.createDataFrame([("a", 1), ("a", 4), ("b", 1)], "g string, p int"), ["g"], "p")) == {("a", (2, 3))}
     t = spark.createDataFrame([("b", "2"), ("a", "1")], "p string, d string")
     assert rows(stats.fingerprint(t, "p", "d")) == rows(stats.fingerprint(t.orderBy("p").coalesce(1), "p", "d"))
