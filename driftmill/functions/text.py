@@ -36,7 +36,7 @@ def nfc(x: pd.Series) -> pd.Series:
 
 
 def norm_text(x: Column | str) -> Column:
-    """Composed, white space collapsed, trimmed; null to the empty text. ASCII texts stay on the JVM's path after one scan."""
+    """Composed, white space collapsed, trimmed; null to the empty text."""
     return collapse(nfc(col(x)))
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftmill.session import join_hot
+
 
 def coverage(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Every key of either side with ``both``, ``missing`` (expected only) or ``extra``; repeated keys count once."""
@@ -17,7 +19,7 @@ def coverage(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
 
 def only_left(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of the left side whose key the right side lacks."""
-    return left.join(right.select(key).distinct(), key, "left_anti")
+    return join_hot(left, right.select(key).distinct(), key, "left_anti")
 
 
 def merged_sources(lists: dict[str, DataFrame], key: str, value: str) -> DataFrame:
@@ -63,7 +65,7 @@ def enriched(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Rows with the columns of a lookup that has at most one row a key; a repeated lookup key is an error."""
     once = lookup.groupBy(key).agg(*(F.first(c).alias(c) for c in lookup.columns if c != key), F.count("*").alias("__n"))
     checked = once.withColumn("__ok", F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("repeated lookup key "), F.col(key).cast("string")))).otherwise(F.lit(1)).cast("int"))
-    return df.join(checked.where("__ok = 1").drop("__n", "__ok"), key, "left")
+    return join_hot(df, checked.where("__ok = 1").drop("__n", "__ok"), key, "left")
 
 
 def redirects(pages: DataFrame, own: str, target: str, content: str | None = None) -> DataFrame:

@@ -20,6 +20,9 @@ from driftmill.operators import devalue, htmldom
 from driftmill.operators.htmldom import block_text
 from driftmill.operators.stats import REACTIONS
 
+# Class names, payload fields and metadata names below are those of the saved pages (fixed values).
+
+#: Address that relative links are joined to where a page names none.
 BASE = "https://news.invalid"
 _TEXTS = ("page_title", "canonical", "og_url", "og_title", "og_image", "dom_title", "dom_foreword", "dom_author", "dom_author_href", "dom_author_note", "dom_image_alt", "dom_caption", "content_html", "content_text", "route", "page", "error", "errors", "article", "seo_meta", "hreflang_links", "json_ld", "content_links", "content_images", "failure")
 

@@ -19,6 +19,8 @@ from driftmill import schemas
 from driftmill.operators import htmldom
 from driftmill.operators.htmldom import Node, block_text, direct_meta
 
+# Class names, attributes and wording below are those of the saved pages (fixed values).
+
 ARTICLE = "article.b-review-topic"
 OPINIONS = ("positive", "neutral", "negative")
 LIST_STATUSES = ("planned", "watching", "rewatching", "completed", "on_hold", "dropped")

@@ -51,3 +51,21 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
+#: Parts that rows are dealt into where a join key may hold a large share of them.
+SALTS = 16
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "left", rows: int | None = None, limit: int = 1_000_000) -> DataFrame:
+    """Joins on a key that may hold a third of the left rows; how is inner, left, left_semi or left_anti, null matches nothing.
+
+    The right side is broadcast if it is proven small: by Catalyst's estimate, or by rows, its number of rows where the
+    caller has counted them. Otherwise the left rows are dealt into SALTS parts, and the right side stands in each.
+    """
+    small = broadcast_if_small(right) if rows is None else F.broadcast(right) if rows <= limit else right
+    if small is not right:
+        return left.join(small, key, how)
+    others = [c for c in left.columns if c != key]
+    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*others) if others else F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return salted.join(right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [key, "__salt"], how).drop("__salt")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from driftmill import schemas
+from driftmill import schemas, session
 from driftmill.functions import text
 from driftmill.operators import devalue, htmldom, match, order, quality, rank, stats
 from driftmill.operators import html as page
@@ -64,6 +64,15 @@ def test_places_and_neighbours_of_large_groups(spark, rows):
     assert order.placed(df.limit(0), ["g"], order_, "p").count() == 0
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_join_on_a_hot_key(spark, rows, monkeypatch, how):
+    left = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)] + [(None, 7)], "k int, v int")
+    right = spark.createDataFrame([(1, "a"), (6, "b"), (None, "c")], "k int, w string")
+    plain = rows(left.join(right, "k", how))
+    assert rows(session.join_hot(left, right, "k", how)) == rows(session.join_hot(left, right, "k", how, rows=3)) == plain
+    assert rows(session.join_hot(left, right, "k", how, rows=3, limit=2)) == plain  # salted
+
+
 def test_running_winner_conflicts(spark):
     """Each occurrence is compared with the one before it, not with the last."""
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "a"), (1, 4, "a")], "id int, page int, body string")
