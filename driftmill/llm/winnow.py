@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from driftmill.session import cut, spread
 
@@ -213,6 +214,7 @@ def _types(df: DataFrame, *columns: str) -> str:
 
 def _leaks_near(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in items.collect()])  # within INDEX_LIMIT words
+    kind = to_arrow_type(items.schema[item].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, known = Index(shared.value), {}
@@ -220,9 +222,9 @@ def _leaks_near(documents: DataFrame, items: DataFrame, doc: str, item: str, tex
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 found = index.search(part.column(1).to_pylist(), known)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([t for t, _ in found], pa.int64())), pa.array([i for _, i in found], pa.int64())], names=[doc, item])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([t for t, _ in found], pa.int64())), pa.array([i for _, i in found], kind)], names=[doc, item])
 
-    return documents.where(F.length(text) > 0).mapInArrow(run, f"{_types(documents, doc)}, `{item}` bigint").distinct()
+    return documents.where(F.length(text) > 0).mapInArrow(run, f"{_types(documents, doc)}, {_types(items, item)}").distinct()
 
 
 def _prints(df: DataFrame, key: str, text: str) -> DataFrame:
