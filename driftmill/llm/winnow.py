@@ -10,6 +10,9 @@ The test side is broadcast only while it has at most INDEX_LIMIT kept hashes, so
 read and the corpus isn't shuffled at all. Beyond it, kept hashes of both sides meet in a shuffle join on the hash, with
 hot hashes salted, and only documents with a hit are read again.
 
+Every item whose stretch is long enough is found, also where another item agrees with the same words better; leaks with
+best keeps only the items that a stretch is credited to.
+
 Defined results: a null or empty text holds nothing; an item of fewer than MIN_WORDS words can't be found; equal texts
 are found each for itself; an empty table on either side gives no rows.
 """
@@ -175,8 +178,8 @@ class Index:
         order = np.argsort(values, kind="stable")
         self.values, self.item, self.place = values[order], item[order], place[order]
 
-    def search(self, texts: list[str | None], known: dict[str, int]) -> list[tuple[int, int]]:
-        """(number of the text, item id) of every text that holds a passage of an item."""
+    def search(self, texts: list[str | None], known: dict[str, int], best: bool = True) -> list[tuple[int, int]]:
+        """(number of the text, item id) of every text that holds a passage of an item. best: only items that a stretch is credited to."""
         split = [words(t) if t else [] for t in texts]
         sizes = np.array([len(w) for w in split], np.int64)
         hashes = np.array([word_hash(w, known) for ws in split for w in ws], np.uint64)
@@ -196,23 +199,23 @@ class Index:
         for (t, i), hits in found.items():
             if held := stretches(split[t], self.words[i], hits):
                 by_text.setdefault(t, []).extend((i, *s) for s in held)
-        return [(t, self.ids[i]) for t, held in by_text.items() for i in sorted(credited(held))]
+        return [(t, self.ids[i]) for t, held in by_text.items() for i in sorted(credited(held) if best else {i for i, *_ in held})]
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", limit: int = INDEX_LIMIT) -> DataFrame:
-    """Documents that hold a passage of a test item: columns doc, item."""
+def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", limit: int = INDEX_LIMIT, best: bool = False) -> DataFrame:
+    """Documents that hold a passage of a test item: columns doc, item. best: a stretch counts only for the item it agrees with in the most words."""
     items = benchmark.where(F.length(text) > 0).select(item, text)
     size = items.agg(F.coalesce(F.sum(F.size(F.split(text, r"\s+"))), F.lit(0)).alias("n")).first()["n"]
     if size <= limit:
-        return _leaks_near(spread(documents.select(doc, text)), items, doc, item, text)
-    return _leaks_far(documents.select(doc, text), items, doc, item, text)
+        return _leaks_near(spread(documents.select(doc, text)), items, doc, item, text, best)
+    return _leaks_far(documents.select(doc, text), items, doc, item, text, best)
 
 
 def _types(df: DataFrame, *columns: str) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
-def _leaks_near(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str) -> DataFrame:
+def _leaks_near(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str, best: bool) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in items.collect()])  # within INDEX_LIMIT words
     kind = to_arrow_type(items.schema[item].dataType)
 
@@ -221,7 +224,7 @@ def _leaks_near(documents: DataFrame, items: DataFrame, doc: str, item: str, tex
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                found = index.search(part.column(1).to_pylist(), known)
+                found = index.search(part.column(1).to_pylist(), known, best)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([t for t, _ in found], pa.int64())), pa.array([i for _, i in found], kind)], names=[doc, item])
 
     return documents.where(F.length(text) > 0).mapInArrow(run, f"{_types(documents, doc)}, {_types(items, item)}").distinct()
@@ -241,7 +244,7 @@ def _prints(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.where(F.length(text) > 0).select(key, text).mapInArrow(run, f"{_types(df, key)}, print bigint, place int")
 
 
-def _leaks_far(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str) -> DataFrame:
+def _leaks_far(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str, best: bool) -> DataFrame:
     theirs = _prints(items, item, text).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("place", "there")
     ours = _prints(documents, doc, text).withColumn("salt", F.pmod(F.xxhash64(doc, "place"), F.lit(SALTS)).cast("int"))
     pairs = cut(ours.join(theirs, ["print", "salt"]).groupBy(doc, item).agg(F.collect_set(F.struct("place", "there")).alias("hits")))
@@ -254,7 +257,9 @@ def _leaks_far(documents: DataFrame, items: DataFrame, doc: str, item: str, text
             yield pa.RecordBatch.from_arrays([*rows.columns, *(pa.array([x[i] for x in out], pa.int32()) for i in (1, 2, 3))], names=[doc, item, "n", "lo", "hi"])
 
     held = full.select(doc, item, text, "__item", "hits").mapInArrow(run, _types(full, doc, item) + ", n int, lo int, hi int")
+    if not best:
+        return held.select(doc, item).distinct()
     lists = held.groupBy(doc).agg(F.collect_list(F.struct(F.col(item).alias("i"), "n", "lo", "hi")).alias("s"))
     inside = lambda x, y: 2 * (F.least(x.hi, y.hi) - F.greatest(x.lo, y.lo)) >= x.hi - x.lo
-    best = F.filter("s", lambda x: ~F.exists("s", lambda y: (y.i != x.i) & (y.n > x.n) & inside(x, y)))
-    return lists.select(doc, F.explode(best).alias("x")).select(doc, F.col("x.i").alias(item)).distinct()
+    first = F.filter("s", lambda x: ~F.exists("s", lambda y: (y.i != x.i) & (y.n > x.n) & inside(x, y)))
+    return lists.select(doc, F.explode(first).alias("x")).select(doc, F.col("x.i").alias(item)).distinct()

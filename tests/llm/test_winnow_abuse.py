@@ -70,6 +70,19 @@ def test_wording_shared_by_items_goes_to_the_better_one():
     assert winnow.Index([(1, " ".join(a)), (2, " ".join(b))]).search([" ".join(a)], {}) == [(0, 1)]
 
 
+@pytest.mark.parametrize("far", [False, True])
+def test_every_item_of_a_shared_stretch_is_found(spark, rows, far):
+    """A shorter item inside a longer one, and an item that differs in one word of 15, count beside the better one."""
+    a = WORDS[:40]
+    b = [*WORDS[100:120], *WORDS[10:17], "other", *WORDS[18:25], *WORDS[130:140]]
+    items = [(1, a), (2, b), (3, WORDS[5:19]), (4, [*WORDS[200:220], *WORDS[10:23]])]  # 13 words of the last
+    d = spark.createDataFrame([(0, " ".join(a))], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    limit = 0 if far else winnow.INDEX_LIMIT
+    assert rows(winnow.leaks(d, bench, limit=limit)) == {(0, 1), (0, 2), (0, 3)}
+    assert rows(winnow.leaks(d, bench, limit=limit, best=True)) == {(0, 1)}
+
+
 def test_words():
     assert winnow.words("Приве́т, МИР №12 [3] <b>a_b</b> ***") == winnow.words("привeт мир 12 a b")
     assert winnow.words(unicodedata.normalize("NFD", "йёй")) == winnow.words("йёй")
