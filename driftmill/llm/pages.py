@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftmill.operators.htmldom import decode
 from driftmill.session import spread
 
-_CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?\s*([\w-]+)|^<\?xml\b[^>]*encoding=[\"']([\w-]+)", re.IGNORECASE)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*[\"']?true|type\s*=\s*[\"']?hidden", re.IGNORECASE)
@@ -61,20 +61,6 @@ class Block:
         self.text, self.links, self.node = text, links, node
 
 
-def decode(data: bytes | None) -> str:
-    """Text of a page by its own charset; UTF-8 where it names none or an unknown one."""
-    if not data:
-        return ""
-    m = _CHARSET.search(data[:4096])
-    name = (m[1] or m[2]).decode("ascii") if m else "utf-8"
-    if data[:3] == b"\xef\xbb\xbf":
-        name, data = "utf-8", data[3:]
-    try:
-        return data.decode(name, "replace")
-    except LookupError:
-        return data.decode("utf-8", "replace")
-
-
 def parse(text: str) -> tuple[Node, list[Block], str]:
     """Root of the tree, the visible blocks in order, and the page's title. A node's blocks are those from first up to last."""
     root = Node("#root", "", None)

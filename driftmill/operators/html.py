@@ -39,10 +39,10 @@ _DDL = (
 )
 
 
-def features(text: str | None, base: str) -> dict:
-    """All features of one page; an error becomes parse_error, never a lost row."""
+def features(text: str | bytes | None, base: str) -> dict:
+    """All features of one page; an error becomes parse_error, never a lost row. Bytes are read by the page's own charset."""
     try:
-        root = htmldom.parse(text or "")
+        root = htmldom.parse(htmldom.decode(text) if isinstance(text, bytes) else text or "")
         canonical, alternates = htmldom.head_links(root)
         records, warnings = htmldom.json_ld(root)
         body = root.first("body")
@@ -56,7 +56,7 @@ def features(text: str | None, base: str) -> dict:
 
 
 def html_features(df: DataFrame, keys: list[str], text: str, base: str | None = None) -> DataFrame:
-    """The keys and the features of every page, parsed once. base: the column with the page's address, for relative links."""
+    """The keys and the features of every page, parsed once. text: its text, or its bytes. base: the column with the page's address, for relative links."""
     fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     n = len(keys)
 
@@ -67,7 +67,8 @@ def html_features(df: DataFrame, keys: list[str], text: str, base: str | None =
                 rows = [features(t, b or "") for t, b in zip(part.column(n).to_pylist(), part.column(n + 1).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n)), *(pa.array([r[f.name] for r in rows], f.type) for f in FEATURES)], names=[*keys, *FEATURES.names])
 
-    return df.select(*keys, F.col(text).cast("string").alias("__text"), (F.col(base) if base else F.lit("")).alias("__base")).mapInArrow(run, f"{fields}, {_DDL}")
+    told = F.col(text) if isinstance(df.schema[text].dataType, T.BinaryType) else F.col(text).cast("string")
+    return df.select(*keys, told.alias("__text"), (F.col(base) if base else F.lit("")).alias("__base")).mapInArrow(run, f"{fields}, {_DDL}")
 
 
 def page_status(features_row: DataFrame) -> DataFrame:

@@ -16,6 +16,21 @@ from urllib.parse import urljoin
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 SKIP = frozenset(("script", "style", "template"))
+_CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?\s*([\w-]+)|^<\?xml\b[^>]*encoding=[\"']([\w-]+)", re.IGNORECASE)
+
+
+def decode(data: bytes | None) -> str:
+    """Text of a page by its own charset; UTF-8 where it names none or an unknown one."""
+    if not data:
+        return ""
+    m = _CHARSET.search(data[:4096])
+    name = (m[1] or m[2]).decode("ascii") if m else "utf-8"
+    if data[:3] == b"\xef\xbb\xbf":
+        name, data = "utf-8", data[3:]
+    try:
+        return data.decode(name, "replace")
+    except (LookupError, UnicodeError):  # some codecs know no replacement
+        return data.decode("utf-8", "replace")
 
 
 class Node:

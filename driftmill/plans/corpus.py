@@ -323,7 +323,7 @@ def key_contract(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def page_features(spark: SparkSession, sf: str) -> DataFrame:
     """Features of every saved page, from one parse."""
-    pages = spread(table(spark, sf, "raw_pages").select("url", F.make_valid_utf8(F.col("html").cast("string")).alias("html")))
+    pages = spread(table(spark, sf, "raw_pages").select("url", "html"))
     f = page.page_status(page.html_features(pages, ["url"], "html", "url"))
     return f.select("url", "title", "h1", "page_status", F.size("links").alias("links"), F.size("images").alias("images"), F.size("metas").alias("metas"), "parse_error")
 
@@ -331,7 +331,7 @@ def page_features(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
     """Every link of every saved page, absolute."""
-    pages = spread(table(spark, sf, "raw_pages").select("url", F.make_valid_utf8(F.col("html").cast("string")).alias("html")))
+    pages = spread(table(spark, sf, "raw_pages").select("url", "html"))
     return page.html_features(pages, ["url"], "html", "url").select(F.col("url").alias("page_url"), F.posexplode("links").alias("ordinal", "link")).select("page_url", "ordinal", "link.*")
 
 

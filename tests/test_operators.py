@@ -9,6 +9,7 @@ from driftmill import schemas, session
 from driftmill.functions import text
 from driftmill.operators import devalue, htmldom, match, order, quality, rank, stats
 from driftmill.operators import html as page
+from driftmill.plans import corpus
 from driftmill.plans import publish as pub
 from driftmill.sources import files
 
@@ -158,6 +159,16 @@ def test_html_on_spark(spark):
     assert spark.createDataFrame([("[1",), (None,)], "p string").select(devalue.devalue("p", "data")["error"].alias("e")).where("e IS NULL").count() == 1
 
 
+@pytest.mark.parametrize("charset", ["utf-8", "windows-1251", "koi8-r"])
+def test_pages_are_read_by_their_charset(spark, tmp_path, charset):
+    html = f'<meta charset="{charset}"><title>Имя</title><body><h1>Страница не найдена</h1><a href="/x">Ссылка</a></body>'
+    pages = [("https://h/a", bytearray(html.encode(charset))), ("https://h/b", bytearray(b'<meta charset="idna"><title>\xd0\xb0</title>')), ("https://h/c", None)]
+    spark.createDataFrame(pages, "url string, html binary").write.parquet(f"{tmp_path}/raw_pages.parquet")
+    got = {r["url"]: r for r in corpus.page_features(spark, str(tmp_path)).collect()}
+    assert [(got[u]["title"], got[u]["h1"], got[u]["page_status"], got[u]["parse_error"]) for u in sorted(got)] == [("Имя", "Страница не найдена", "not_found", ""), ("а", "", "unknown", ""), ("", "", "unknown", "")]
+    assert [(r["url"], r["text"]) for r in corpus.page_links(spark, str(tmp_path)).collect()] == [("https://h/x", "Ссылка")]
+
+
 def test_sources(spark, tmp_path, rows):
     d = tmp_path / "in"
     d.mkdir()
