@@ -213,7 +213,7 @@ def slots(df: DataFrame, keys: list[str], text: str) -> DataFrame:
             take = pa.array([i for i, _ in rows], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(j).take(take) for j in range(len(keys))] + [pa.array([s for _, s in rows], pa.string()), pa.array(list(rows.values()), pa.int32())], names=[*keys, "slot", "times"])
 
-    return df.where(F.col(text).rlike(r"[{}%\[\]]|__|TODO|FIXME|TBD|XXX")).select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{fields}, slot string, times int")
+    return df.where(F.col(text).rlike(r"[{}%\[\]]|__|(?iu:TODO|FIXME|TBD|XXX)")).select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{fields}, slot string, times int")
 
 
 KEYS = ["source_table", "record_key"]
@@ -255,8 +255,18 @@ def records(parts: DataFrame) -> DataFrame:
     return residue_parts(parts, KEYS).select(*KEYS).distinct()
 
 
+def all_parts(anime_pages: DataFrame, news: DataFrame, raw_pages: DataFrame) -> DataFrame:
+    """Parts of the records of all three tables: source_table, record_key, part, text."""
+    return anime_parts(spread(anime_pages)).unionByName(news_parts(spread(news))).unionByName(page_parts(pages.page_bodies(raw_pages)))
+
+
 def found(anime_pages: DataFrame, news: DataFrame, raw_pages: DataFrame) -> DataFrame:
-    return records(anime_parts(spread(anime_pages)).unionByName(news_parts(spread(news))).unionByName(page_parts(pages.page_bodies(raw_pages))))
+    return records(all_parts(anime_pages, news, raw_pages))
+
+
+def slots_found(anime_pages: DataFrame, news: DataFrame, raw_pages: DataFrame) -> DataFrame:
+    """Unfilled slots of every part, sound records included: source_table, record_key, part, slot, times."""
+    return slots(all_parts(anime_pages, news, raw_pages), [*KEYS, "part"], "text").distinct()
 
 
 def body_blocks_found(raw_pages: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from driftmill.llm import markup, pages, pii, residue
+from driftmill.llm import catalogue, markup, pages, pii, residue
 from driftmill.llm.markup import Block, clean, elements, min_cut
 
 
@@ -122,6 +122,19 @@ def test_residue_records(spark, rows):
     assert rows(residue.slots(s, ["id"], "t")) == {(1, "{{ x }}", 2)}
 
 
+def test_slots_of_all_tables(spark, tmp_path, rows):
+    a = "source_file string, html_title string, title_heading string, title string, description string"
+    spark.createDataFrame([("f1", "x", "Имя", "{{ name }}", "Хорошее описание, todo: дописать."), ("f2", "x", "Имя", "", "fixme later")], a).write.parquet(f"{tmp_path}/anime_pages.parquet")
+    n = "source_id bigint, page_title string, title string, foreword string, content_text string, content_html string"
+    spark.createDataFrame([(1, "x", "Новость %name%", "", "Текст ${x} и ${x}.", None)], n).write.parquet(f"{tmp_path}/news.parquet")
+    spark.createDataFrame([("u", bytearray("<main><h1>Имя [[ slot ]]</h1><p>Обычный текст <%= y %> страницы.</p></main>".encode())), ("v", None)], "url string, html binary").write.parquet(f"{tmp_path}/raw_pages.parquet")
+    got = {(t, k, p, s, n) for t, k, p, s, n in rows(catalogue.p7_slots(spark, str(tmp_path)))}
+    assert got == {
+        ("anime_pages", "f1", "head", "{{ name }}", 1), ("anime_pages", "f1", "description", "todo: дописать.", 1), ("anime_pages", "f2", "description", "fixme later", 1),
+        ("news", "1", "head", "%name%", 1), ("news", "1", "body", "${x}", 2), ("raw_pages", "u", "head", "[[ slot ]]", 1), ("raw_pages", "u", "body", "<%= y %>", 1),
+    }
+
+
 # --- personal information
 
 KNOWN = pii.Known(["Domori Boquashi", "Домори Бокваши", None])
