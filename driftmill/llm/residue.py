@@ -2,9 +2,10 @@
 
 Records are split into parts (heading, title, description, body) and parts into sentences. Sentences go through a
 fixed-depth prefix tree: by number of words, then by the first DEPTH words with numbers masked; within a leaf a sentence
-joins the most similar template, and places where the two differ become wildcards. Each task grows its own tree of
-bounded size. Every distinct template is then judged once, and verdicts go back to the sentences by the template's
-hash. Slots that were never filled are found apart from that, inside ordinary records too.
+joins the most similar template, and places where the two differ become wildcards. Each task grows its own tree; where
+it gets too large only templates that are no messages are dropped. Every distinct template is then judged once, and
+verdicts go back to the sentences by the template's hash. A sentence of any length that is a message by itself counts as
+its own template, so what else a task holds can't hide it. Slots that were never filled are found apart from that, inside ordinary records too.
 
 A part is residue if sentences of residue make up at least SHARE of its characters. Empty parts are nothing, and
 sentences that only mention a slot or a message among other words aren't residue, as the wording must match as a whole.
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from driftmill.llm import pages
 from driftmill.session import cut, join_hot, spread
 
-#: First words that make the path to a leaf, share of equal words from which a sentence joins a template, templates of a leaf, and leaves of a task's tree.
-DEPTH, SIMILAR, MAX_IN_LEAF, MAX_LEAVES = 3, 0.6, 20, 50_000
+#: First words that make the path to a leaf, share of equal words from which a sentence joins a template, templates of a leaf, and words of a task's tree, from which templates that are no messages are dropped.
+DEPTH, SIMILAR, MAX_IN_LEAF, MAX_TREE = 3, 0.6, 50, 2_000_000
 #: Share of a part's characters that must be residue.
 SHARE = 0.9
 WILD = "<*>"
@@ -98,14 +99,15 @@ class Tree:
 
     def __init__(self) -> None:
         self.leaves: dict[tuple, list[list[str]]] = {}
+        self.size, self.limit = 0, MAX_TREE  # words of all templates
 
     def add(self, sentence: str) -> list[str]:
         """The template that the sentence belongs to, as a list that later sentences may still widen."""
         words = sentence.split(" ")
         leaf = self.leaves.get(path := (len(words), *words[:DEPTH]))
         if leaf is None:
-            if len(self.leaves) >= MAX_LEAVES:
-                self.leaves.clear()
+            if self.size >= self.limit:
+                self.prune()
             leaf = self.leaves[path] = []
         best, most = None, SIMILAR * len(words)
         for template in leaf:
@@ -114,8 +116,11 @@ class Tree:
                 best, most = template, same
         if best is None:
             if len(leaf) >= MAX_IN_LEAF:
-                leaf.pop(0)
+                old = next((i for i, t in enumerate(leaf) if judge(" ".join(t)) is None), None)
+                if old is not None:
+                    self.size -= len(leaf.pop(old))
             leaf.append(words)
+            self.size += len(words)
             return words
         if most < len(words):
             for i in range(DEPTH, len(words)):
@@ -123,15 +128,18 @@ class Tree:
                     best[i] = WILD
         return best
 
+    def prune(self) -> None:
+        """Keeps only the templates that are messages."""
+        kept = {path: [t for t in leaf if judge(" ".join(t))] for path, leaf in self.leaves.items()}
+        self.leaves = {path: leaf for path, leaf in kept.items() if leaf}
+        self.size = sum(len(t) for leaf in self.leaves.values() for t in leaf)
+        self.limit = max(MAX_TREE, 2 * self.size)
+
 
 def sentences(text: str) -> list[str]:
     return [s for s in (x.strip() for x in _SENTENCE.split(text)) if s]
 
 
-#: Sentences of a part of which all are read; messages are short, so a longer sentence can't be one and isn't mined.
-MAX_WORDS = 120
-
-
 def mined(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Sentences of parts (keys, part, text) with their template: keys, part, chars, slots, hash, template.
 
@@ -143,6 +151,7 @@ def mined(parts: DataFrame, keys: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, told = Tree(), set()
+        own: dict[str, bool] = {}  # sentences seen, and whether they are messages by themselves
         for batch in batches:
             rows: list[tuple[int, int, bool, list[str] | None]] = []
             for i, text in enumerate(batch.column(n + 1).to_pylist()):
@@ -150,11 +159,16 @@ def mined(parts: DataFrame, keys: list[str]) -> DataFrame:
                     if only_slots(s):
                         rows.append((i, len(s), True, None))
                         continue
-                    m = masked(s)
-                    if m and m.count(" ") < MAX_WORDS:
-                        rows.append((i, len(s), False, tree.add(m)))
-                    elif m:
-                        rows.append((i, len(s), False, None))
+                    if not (m := masked(s)):
+                        continue
+                    if (message := own.get(m)) is None:
+                        message = judge(m) is not None
+                        if len(own) > 100_000:
+                            own.clear()
+                        if len(m) < 500:
+                            own[m] = message
+                    template = tree.add(m)
+                    rows.append((i, len(s), False, [m] if message else template))
             merged: dict[tuple[int, bool, int], int] = {}
             templates: dict[int, str | None] = {}
             for i, chars, slots, words in rows:

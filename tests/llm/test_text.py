@@ -109,6 +109,24 @@ def test_tree_merges_what_differs_in_few_words():
     assert t.add("error while") == ["error", "while"] and t.add("quite another sentence of eight words here now") is not last
 
 
+def test_full_leaves_keep_messages():
+    t = residue.Tree()
+    message = t.add("упс, что-то пошло совсем не так у нас сегодня")
+    for i in range(3 * residue.MAX_IN_LEAF):
+        t.add(f"упс, что-то пошло {' '.join(f'w{i}x{j}' for j in range(6))}")
+        t.add(f"герой снова идёт {' '.join(f'w{i}x{j}' for j in range(6))}")
+    assert t.add("упс, что-то пошло совсем не так у нас вчера") is message
+    assert len(t.leaves[9, "герой", "снова", "идёт"]) == residue.MAX_IN_LEAF
+    t.prune()
+    assert t.leaves.keys() == {(9, "упс,", "что-то", "пошло")} and t.size == 9 * len(t.leaves[9, "упс,", "что-то", "пошло"])
+
+
+def test_residue_of_any_length_and_beside_its_likes(spark, rows):
+    told = ["null " * 200, "Lorem ipsum dolor sit amet " * 90, "lorem ipsum dolor sit amet", "lorem ipsum dolor sit elit", "lorem ipsum dolor sit tempor", "Слово о герое без знаков и конца " * 40, "lorem ipsum dolor sit today"]
+    parts = spark.createDataFrame([("t", str(i), "body", x) for i, x in enumerate(told)], "source_table string, record_key string, part string, text string").coalesce(1)
+    assert rows(residue.records(parts)) == {("t", str(i)) for i in range(5)}
+
+
 def test_residue_records(spark, rows):
     a = spark.createDataFrame([("f1", "404", "404", "", "", "x"), ("f2", "404", "Имя / Name", "Name", "Хорошее описание сериала.", "x"), ("f3", "Имя", "Имя / Name", "Name", "Please enable JavaScript to view this page", "x"), ("f4", "", "", None, None, "x")], "source_file string, html_title string, title_heading string, title string, description string, part string")
     n = spark.createDataFrame([(1, "404", "Имя", "", "Обычный текст новости.", None), (2, "Страница не найдена", "", "", "", None), (3, "x", "x y z", "", None, "lorem ipsum"), (3, "x", "x y z", "", None, "lorem ipsum")], "source_id bigint, page_title string, title string, foreword string, content_text string, content_html string")
