@@ -173,6 +173,8 @@ NOTICE = re.compile(r"cookie|куки|нажимая «|we value your privacy|з
 _CHROME_NAME = re.compile(r"(?:^|[\s_-])(?:foot(?:er)?|nav(?:bar|igation)?|menu|side(?:bar)?|comments?|cookies?|banner|breadcrumbs?|promo|related|share|social|advert|popup|contentinfo|complementary)(?:$|[\s_\d-])", re.IGNORECASE)
 _BODY_NAME = re.compile(r"(?:^|[\s_-])(?:content|main|article|post|entry|body|story|text)(?:$|[\s_\d-])", re.IGNORECASE)
 _HEADINGS = frozenset(("h1", "h2"))
+#: Tags that are parts of one text where they stand side by side; #text is text without a tag of its own.
+_FLOW = frozenset("#text p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote figure table hr br details address".split())
 
 
 def _names(node: Node) -> str:
@@ -210,7 +212,7 @@ def sections(root: Node, blocks: list[Block]) -> list[Node]:
     node = root
     while True:
         shown = [c for c in node.children if not c.hidden and c.last > c.first]
-        if len(shown) == 1 and shown[0].tag not in ("main", "article", "p", "li", "td") and shown[0].children:
+        if len(shown) == 1 and (shown[0].first, shown[0].last) == (node.first, node.last) and shown[0].tag not in ("main", "article", "p", "li", "td") and shown[0].children:
             inner = [c for c in shown[0].children if not c.hidden and c.last > c.first]
             if len(inner) > 1 and not any(c.tag in ("main", "article", "nav", "footer", "aside", "header", "section", "div", "table", "td", "tr", "ul", "body", "tbody") for c in inner):
                 return shown
@@ -220,11 +222,9 @@ def sections(root: Node, blocks: list[Block]) -> list[Node]:
     out: list[Node] = []
 
     def open_up(node: Node, depth: int) -> None:
-        for c in node.children:
-            if c.hidden or c.last == c.first:
-                continue
+        for c in _flowed(node, blocks):
             inner = [x for x in c.children if not x.hidden and x.last > x.first]
-            if c.tag in ("table", "tbody", "tr") and any(x.tag in ("p", "div", "h1", "h2", "h3", "ul") for cell in _cells(c) for x in cell.children):
+            if _layout(c) or c.tag in ("tbody", "tr") and any(x.tag in ("p", "div", "h1", "h2", "h3", "ul") for cell in _cells(c) for x in cell.children):
                 open_up(c, depth)
             elif c.tag in ("div", "section") and depth < 6 and len(inner) > 1 and any(x.tag in ("main", "article", "nav", "footer", "aside") for x in inner):
                 open_up(c, depth + 1)
@@ -235,6 +235,73 @@ def sections(root: Node, blocks: list[Block]) -> list[Node]:
     return out
 
 
+def _span(parts: list[Node], parent: Node, tag: str) -> Node:
+    """A section that holds several in a row."""
+    out = Node(tag, "", None)
+    out.parent, out.children, out.first, out.last = parent, parts, parts[0].first, parts[-1].last
+    return out
+
+
+def _flowed(node: Node, blocks: list[Block]) -> list[Node]:
+    """Shown children of a node in order, with its bare text, and each run of parts of one text as one section.
+
+    A label over comments starts a run of them, up to the next heading; at both ends of a run what is chrome by itself
+    stands alone, and so does what is named as chrome.
+    """
+    parts: list[Node] = []
+    at = node.first
+    for c in [*(c for c in node.children if not c.hidden and c.last > c.first), None]:
+        upto = node.last if c is None else c.first
+        if upto > at:
+            bare = Node("#text", "", None)
+            bare.parent, bare.first, bare.last = node, at, upto
+            parts.append(bare)
+        if c is not None:
+            parts.append(c)
+            at = c.last
+    out: list[Node] = []
+    run: list[Node] = []
+
+    def close() -> None:
+        alone = lambda n: n.tag not in ("h4", "h5", "h6") and chrome(n, blocks, True)
+        lo, hi = 0, len(run)
+        if not _label(run[0], blocks):
+            while lo < hi and alone(run[lo]):
+                lo += 1
+            while hi > lo and alone(run[hi - 1]):
+                hi -= 1
+        out.extend(run[:lo])
+        if hi - lo > 1:
+            out.append(_span(run[lo:hi], node, "#run"))
+        else:
+            out.extend(run[lo:hi])
+        out.extend(run[hi:])
+        run.clear()
+
+    for c in parts:
+        flow = c.tag in _FLOW and not _layout(c) and not _CHROME_NAME.search(_names(c))
+        if run and (not flow or _label(c, blocks) or c.tag in _HEADINGS and _label(run[0], blocks)):
+            close()
+        if flow:
+            run.append(c)
+        else:
+            out.append(c)
+    if run:
+        close()
+    return out
+
+
+def _label(node: Node, blocks: list[Block]) -> bool:
+    """Whether a part begins with a label over visitors' comments."""
+    lead = blocks[node.first]
+    return len(lead.text) < 80 and lead.node.tag not in _HEADINGS and bool(COMMENTS.fullmatch(lead.text))
+
+
+def _layout(node: Node) -> bool:
+    """Whether a table holds sections rather than values."""
+    return node.tag == "table" and any(x.tag in ("p", "div", "h1", "h2", "h3", "ul") for cell in _cells(node) for x in cell.children)
+
+
 def _cells(table: Node) -> Iterator[Node]:
     """Cells of a table, not of tables inside them."""
     for c in table.children:
@@ -245,14 +312,19 @@ def _cells(table: Node) -> Iterator[Node]:
 
 
 def body(root: Node, blocks: list[Block]) -> tuple[Node | None, list[Block]]:
-    """The section that is the page's body, and its blocks without the labels that stand among them."""
+    """The best section of the page's body, and the blocks of the whole body without the labels that stand among them."""
     if not blocks:
         return None, []
     parts = sections(root, blocks)
+    kept, guests = [], False  # guests: below a label over comments that is a section of its own
+    for i, n in enumerate(parts):
+        guests = (guests or n.last - n.first == 1 and _label(n, blocks)) and n.tag not in ("main", "article") and not any(b.node.tag in _HEADINGS for b in blocks[n.first : n.last])
+        if not guests and not chrome(n, blocks, i == len(parts) - 1 and len(parts) > 1):
+            kept.append(n)
+    if not kept:
+        return None, []
     best, score = None, -1.0
-    for i, node in enumerate(parts):
-        if chrome(node, blocks, i == len(parts) - 1 and len(parts) > 1):
-            continue
+    for node in kept:
         own = blocks[node.first : node.last]
         value = float(sum(len(b.text) - b.links for b in own))
         value += 2000 if node.tag in ("main", "article") else 0
@@ -260,9 +332,18 @@ def body(root: Node, blocks: list[Block]) -> tuple[Node | None, list[Block]]:
         value += 500 if _BODY_NAME.search(_names(node)) else 0
         if value > score:
             best, score = node, value
-    if best is None:
-        return None, []
-    return best, [b for b in blocks[best.first : best.last] if not (len(b.text) < 120 and b.node.tag not in ("h1", "h2", "td", "th", "li") and (LABELS.fullmatch(b.text) or COMMENTS.fullmatch(b.text)))]
+    if best.tag == "main":
+        text = [n for n in kept if n.tag == "main"]
+    else:
+        text = [n for n in kept if n.tag != "header"] or [best]
+    own = [b for n in text for b in blocks[n.first : n.last]]
+    if not any(b.node.tag == "h1" for b in own):  # the heading just before
+        for n in reversed([n for n in kept if n.last <= text[0].first]):
+            head = blocks[n.first : n.last]
+            if (at := next((i for i, b in enumerate(head) if b.node.tag in _HEADINGS), None)) is not None:
+                own = head[at:] + own if n.tag == "header" else [b for b in head[at:] if b.node.tag in _HEADINGS] + own
+                break
+    return best, [b for b in own if not (len(b.text) < 120 and b.node.tag not in ("h1", "h2", "td", "th", "li") and (LABELS.fullmatch(b.text) or COMMENTS.fullmatch(b.text)))]
 
 
 def rendered(blocks: list[Block]) -> str:

@@ -77,6 +77,24 @@ def test_body_of_a_page(charset):
     assert pages.rendered(own) == "# Ржавые орбиты\n\nПервый абзац текста & ещё.\n\nВторой\n\n- один\n- два\n\nСерия 1  Длинное имя\n2        Б"
 
 
+LONG = "Длинный абзац о сериале, который стоит прочитать целиком"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<nav><a href=/>Главная</a></nav><h1>Имя</h1><p>{LONG} один.</p><h4>Часть</h4><p>Поделиться</p><p>{LONG} два.</p>{LONG} три.<ul><li>а<li>б</ul><h3>Комментарии</h3><p>Отличный фильм, пересматривал трижды.</p><footer>© 2020</footer>", ["Имя", f"{LONG} один.", "Часть", f"{LONG} два.", f"{LONG} три.", "а", "б"]),
+        (f"<div><h1>Имя</h1><p>{LONG} один.</p></div><aside>Реклама</aside><div><p>{LONG} два.</p></div><footer>© 2020</footer>", ["Имя", f"{LONG} один.", f"{LONG} два."]),
+        (f"<header><div>Сайт</div><h1>Имя</h1></header><main><p>{LONG} один.</p><p>{LONG} два.</p></main><footer>© 2020</footer>", ["Имя", f"{LONG} один.", f"{LONG} два."]),
+        (f"<div><h1>Имя</h1><p>{LONG} один.</p></div><h3>Комментарии</h3><div><p>{LONG}, пишет гость.</p></div><footer>© 2020</footer>", ["Имя", f"{LONG} один."]),
+        (f"<h2>Имя</h2>{LONG} один.<br>{LONG} два.<p class='related'>{LONG} рядом.</p><footer>© 2020</footer>", ["Имя", f"{LONG} один.", f"{LONG} два."]),
+    ],
+)
+def test_whole_body_of_flat_and_divided_pages(page, want):
+    root, blocks, _ = pages.parse(f"<html><head><title>x</title></head><body>{page}</body></html>")
+    assert [b.text for b in pages.body(root, blocks)[1]] == want
+
+
 def test_pages_without_content_and_broken_bytes(spark):
     for data in (None, b"", b"<nav><a href=x>y</a></nav>", b"\xff\xfe", b"<<<>>><p", b"<table><tr><td>" * 3):
         root, blocks, _ = pages.parse(pages.decode(data))
