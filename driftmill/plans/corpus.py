@@ -74,6 +74,14 @@ def rank_order(spark: SparkSession, sf: str) -> DataFrame:
     return rank.order_breaks(r, ["anime_id"], ["usefulness_rank", "review_id", "source_page", "source_position"], ["usefulness_score", "votes_for", "review_id"]).select("anime_id", "review_id", "usefulness_rank")
 
 
+@query()
+def rank_order_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As rank_order, with the score of all rows: a null one is votes_for - votes_against."""
+    score = F.coalesce("usefulness_score", F.col("votes_for") - F.col("votes_against")).alias("usefulness_score")
+    r = table(spark, sf, "reviews").select("anime_id", "usefulness_rank", "review_id", score, "votes_for", "source_page", "source_position")
+    return rank.order_breaks(r, ["anime_id"], ["usefulness_rank", "review_id", "source_page", "source_position"], ["usefulness_score", "votes_for", "review_id"]).select("anime_id", "review_id", "usefulness_rank")
+
+
 @query("SELECT count(*) AS groups, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(least(n, 50)) AS BIGINT) AS capped FROM (SELECT anime_id, count(DISTINCT review_id) AS n FROM reviews GROUP BY 1)")
 def capped_count(spark: SparkSession, sf: str) -> DataFrame:
     return rank.capped_count(table(spark, sf, "reviews").select("anime_id", "review_id").distinct(), ["anime_id"], 50)
@@ -212,6 +220,14 @@ def recovery_merge(spark: SparkSession, sf: str) -> DataFrame:
     return match.recovery_merge(fallback, partial, "id", "topic", ["most"]).select("id", "topic.kind", "topic.most", "state")
 
 
+@query()
+def recovery_merge_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As recovery_merge, with every order; extra and missing are keys that only one of the tables has."""
+    fallback = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.struct(F.col("o_orderstatus").alias("kind"), F.lit(None).cast("double").alias("most")).alias("topic"))
+    partial = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.struct(F.max("l_quantity").alias("most")).alias("topic"))
+    return match.recovery_merge(fallback, partial, "id", "topic", ["most"]).select("id", "topic.kind", "topic.most", "state")
+
+
 @query("""WITH t AS (SELECT DISTINCT source_requested_id AS id FROM anime_pages WHERE source_requested_id IS NOT NULL)
 SELECT source_requested_id, redirect_id, t.id IS NOT NULL AS target_present FROM anime_pages p LEFT JOIN t ON p.redirect_id = t.id WHERE coalesce(redirect_id, '') <> ''""")
 def redirect_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,6 +328,14 @@ def range_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return quality.range_coverage(table(spark, sf, "news"), "source_id", 0, 300)
 
 
+@query()
+def range_coverage_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As range_coverage, over the table's own range of ids."""
+    news = table(spark, sf, "news")
+    first, last = news.agg(F.min("source_id"), F.max("source_id")).first()
+    return quality.range_coverage(news, "source_id", first or 0, -1 if last is None else last)
+
+
 @query("""SELECT record_id, list_sort(list_filter(['id', 'name', 'mainUrl'], lambda x: NOT list_contains(json_keys(j), x))) AS missing FROM (SELECT record_id, try_cast(airedon AS JSON) AS j FROM animes) WHERE json_type(j) = 'OBJECT'""")
 def key_contract(spark: SparkSession, sf: str) -> DataFrame:
     k = quality.key_set("airedon", ["id", "name", "mainUrl"], ["date", "day", "month", "year"])
@@ -464,3 +488,9 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
 def zoned_times(spark: SparkSession, sf: str) -> DataFrame:
     """Times kept as text, in several spellings of the zone, as seconds."""
     return table(spark, sf, "animes").where(F.col("createdat").rlike(r"(Z|[+-]\d{2}:?\d{2})$")).select("record_id", F.floor(times.zoned_micros(F.col("createdat")) / 1_000_000).cast("bigint").alias("seconds"))
+
+
+@query()
+def zoned_times_all(spark: SparkSession, sf: str) -> DataFrame:
+    """As zoned_times, for every row; null where the text is none, names no zone or is no time."""
+    return table(spark, sf, "animes").select("record_id", F.floor(times.zoned_micros(F.col("createdat")) / 1_000_000).cast("bigint").alias("seconds"))

@@ -169,6 +169,24 @@ def test_pages_are_read_by_their_charset(spark, tmp_path, charset):
     assert [(r["url"], r["text"]) for r in corpus.page_links(spark, str(tmp_path)).collect()] == [("https://h/x", "Ссылка")]
 
 
+def test_whole_tables(spark, tmp_path, rows):
+    put = lambda name, data, ddl: spark.createDataFrame(data, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = lambda f: rows(f(spark, str(tmp_path)))
+    put("orders", [(i, "O") for i in range(1, 10)], "o_orderkey bigint, o_orderstatus string")
+    put("lineitem", [(i, float(q)) for i in range(2, 12) for q in (i, 1)], "l_orderkey bigint, l_quantity double")
+    assert got(corpus.recovery_merge_all) == {(1, "O", None, "missing"), *((i, "O", float(i), "both") for i in range(2, 10)), (10, None, None, "extra"), (11, None, None, "extra")}
+    rng = random.Random(3)
+    r = [(a, n, i, rng.choice([None, rng.randrange(9)]), rng.randrange(9), rng.randrange(9), 1, n, f"<p>a &amp; {i}</p><p>x < 3</p>", "f") for a in range(3) for n, i in enumerate(rng.sample(range(100 * a, 100 * a + 99), 30))]
+    put("reviews", r, "anime_id bigint, usefulness_rank bigint, review_id bigint, usefulness_score bigint, votes_for bigint, votes_against bigint, source_page bigint, source_position bigint, body_html string, source_file string")
+    key = lambda x: (x[4] - x[5] if x[3] is None else x[3], x[4], x[2])
+    assert got(corpus.rank_order_all) == {(y[0], y[2], y[1]) for x, y in zip(r, r[1:], strict=False) if x[0] == y[0] and key(y) >= key(x)}
+    assert {(x[0], x[3]) for x in got(corpus.html_text_all)} == {(x[2], f"a & {x[2]}\nx < 3") for x in r}
+    put("news", [(i,) for i in (400, 402, 402, 405, None)], "source_id bigint")
+    assert got(corpus.range_coverage_all) == {(i, "missing") for i in (401, 403, 404)}
+    put("animes", [(1, "1970-01-01T00:01:00 UTC"), (2, "1970-01-01 01:00:00+01:00"), (3, "1970-01-01T00:00:05Z"), (4, "1970-01-01T00:00:07GMT"), (5, "1970-01-01T00:00:05"), (6, None), (7, "x")], "record_id bigint, createdat string")
+    assert got(corpus.zoned_times_all) == {(1, 60), (2, 0), (3, 5), (4, 7), (5, None), (6, None), (7, None)}
+
+
 def test_sources(spark, tmp_path, rows):
     d = tmp_path / "in"
     d.mkdir()
