@@ -44,8 +44,6 @@ _ASIDE = re.compile(
 _CODE = ("pre", "wiki", "bb", "md", "tex")
 _FORMULA = ("math", "bbmath", "eq", "dd", "brackets", "parens", "d")
 _ASIDE_HINT = re.compile(r"<(?:pre|math|syntax|source)|\[code|\[math|```|~~~|\\[\[(b]|\$", re.IGNORECASE)
-#: What a text needs somewhere to hold any element at all.
-_HINT = re.compile(r"<(?:h[1-6]|li|pre|math|syntax|source)\b|\[h[1-6]\]|\[\*\]|\[code|\[math|```|~~~|\$|\\[\[(bisctp]|^[ \t]*(?:[#=*+•-]|\d{1,3}[.)])", re.IGNORECASE | re.MULTILINE)
 
 HEAD, ITEM, OPEN, SHUT, MARK = "\x01", "\x02", "\x03", "\x04", "\x05"
 _SET_ASIDE = re.compile(f"{MARK}(\\d+){MARK}")
@@ -347,7 +345,7 @@ def clean(text: str | None) -> str | None:
 
 def elements(text: str | None) -> list[tuple[str, str]]:
     """(kind, bare text) of every heading, list item, code block and formula among the content."""
-    if not text or not _HINT.search(text) and not ("---" in text or "===" in text):
+    if not text:
         return []
     return [(b.kind, b.text) for b in content(blocks(text)) if b.kind in ("heading", "list_item", "code_block", "formula")]
 

@@ -80,7 +80,7 @@ _RU_NAME = r"(?:\d{1,3}-[а-я]{1,2} )?[А-ЯЁ][а-яё]+(?:[ -][А-ЯЁа-яё
 _RU_HOUSE = r"(?:(?:д\.|дом|вл\.|стр\.) ?)?\d{1,4}[а-яА-Я]?(?:[/-]\d{1,4})?(?:,? (?:к\.|корп\.|корпус|стр\.|строение) ?\d{1,3})?(?:,? (?:кв\.|квартира|оф\.|офис|комн\.|комната) ?\d{1,4})?"
 _RU_STREET = rf"(?:{_RU_KIND} ?{_RU_NAME}|[А-ЯЁ][а-яё]+(?: [А-ЯЁа-яё][а-яё]+)?(?: [А-ЯЁ]?[а-яё]+)? (?:улица|переулок|проспект|бульвар|набережная|шоссе|площадь|тупик|проезд|аллея|линия))"
 _RU_ADDRESS = re.compile(rf"(?<![\w-])(?:\d{{6}}, ?)?(?:{_RU_TOWN}, ?)?(?:{_RU_STREET}),? {_RU_HOUSE}(?![\w/])")
-_RU_ADDRESS_HINT = re.compile(r"ул\.|улица|пер\.|переул|просп|пр-т|бул|б-р|наб|шоссе|площадь|пл\.|тупик|проезд|аллея")
+_RU_ADDRESS_HINT = re.compile(_RU_KIND)
 _EN_KIND = r"(?:Street|Road|Lane|Avenue|Close|Drive|Court|Square|Way|Place|Boulevard|Terrace|Crescent|Row|Walk|Hill|Mews|Gardens|St\.?|Rd\.?|Ave\.?|Blvd\.?|Dr\.?|Ln\.?)"
 _EN_STREET = rf"(?:[A-Z][\w’'-]*\.? ){{1,3}}{_EN_KIND}(?![\w])"
 _EN_UNIT = r"(?:Flat|Apt\.?|Apartment|Unit|Suite|Room) ?\d{1,4}[A-Za-z]?"

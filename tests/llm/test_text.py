@@ -202,6 +202,16 @@ def test_pii(text, want):
     assert [(k, text[a:b]) for k, a, b, _ in pii.find(text, KNOWN)] == want
 
 
+@pytest.mark.parametrize("kind", ["пр.", "ш.", "туп.", "линия", "ул.", "набережная"])
+def test_address_of_any_street_word(kind):
+    assert [(k, x) for k, x in (("address", f"{kind} Ленина, д. 5"),)] == [(k, f"Живу: {kind} Ленина, д. 5."[a:b]) for k, a, b, _ in pii.find(f"Живу: {kind} Ленина, д. 5.", KNOWN)]
+
+
+@pytest.mark.parametrize("text", ["<p>- один</p>", "текст<br># Глава", "– один\n– два", "<div>• один</div>"])
+def test_markup_without_other_marks(text):
+    assert elements(text) and set(elements(text)) <= set(elements(text + "\n\n$$x$$"))
+
+
 def test_validators():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112") and pii.mod97("GB82 WEST 1234 5698 7654 32") and pii.snils("11223344595") and pii.inn("7707083893") and not pii.inn("7707083894")
     assert [k for k, *_ in pii.find("IBAN GB82 WEST 1234 5698 7654 32, карта 4111 1111 1111 1111, паспорт", KNOWN)] == ["id_number", "id_number"]
