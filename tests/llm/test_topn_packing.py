@@ -89,3 +89,40 @@ def test_token_counts(spark, rows):
     c = packing.containers(df, 512)
     assert c.where("doc_id = 1").count() == 2 and c.groupBy("container").agg(F.sum("n_tokens").alias("n")).where("n > 512").count() == 0
     assert packing.containers(spark.createDataFrame([], "doc_id bigint, text string, part int")).count() == 0
+
+
+def test_capacities_are_chosen_jointly():
+    """Long items open large bins, whose room short ones fill; what is left of the short ones goes to small bins."""
+    rng = random.Random(4)
+    capacities = [512, 1024, 2048]
+    costs = packing.attention_costs(capacities)
+    sizes = sorted((min(2048, int(rng.lognormvariate(5.5, 1)) + 1) for _ in range(6000)), reverse=True)
+    histogram = {s: sizes.count(s) for s in set(sizes)}
+    plan = packing.joint_plan(histogram, capacities, costs)
+    cost = lambda final, of: sum(dict(zip(of, packing.attention_costs(of), strict=True))[c] for c in final)
+    joint = cost(packing.best_fit(sizes, capacities, costs, plan)[1], capacities)
+    assert {c for of in plan.shares.values() for c in of} == set(capacities)
+    assert joint < 0.99 * cost(packing.best_fit(sizes, capacities, costs)[1], capacities)
+    assert joint < 0.9 * cost(packing.best_fit(sizes, [2048])[1], [2048])
+    assert joint < 1.02 * plan.bound
+
+
+@pytest.mark.parametrize(("histogram", "bound"), [({64: 10}, 640.0), ({40: 10, 24: 10}, 640.0), ({33: 4}, 256.0), ({16: 8}, 128.0), ({}, 0.0)])
+def test_bound_of_the_plan(histogram, bound):
+    assert packing.joint_plan(histogram, [16, 32, 64], [16.0, 32.0, 64.0]).bound == pytest.approx(bound)
+
+
+def test_small_bins_that_are_full_count_as_full(spark):
+    counts = spark.createDataFrame([(i, 16) for i in range(40)] + [(100, 60)], "doc_id bigint, n_tokens bigint")
+    got = packing.pack(counts, [16, 64], [10.0, 64.0]).collect()
+    assert all(r["container"] >> 60 == 1 for r in got if r["n_tokens"] == 16) and {r["capacity"] for r in got if r["n_tokens"] == 16} == {16}
+
+
+def test_names_depend_on_the_rows_alone_and_copies_are_spread(spark, rows, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ITEMS", 50)
+    counts = spark.createDataFrame([(None, 100)] * 150 + [(7, 30)] * 150 + [(i, i % 90 + 1) for i in range(200)] + [(3, 250), (3, 250)], "doc_id bigint, n_tokens bigint")
+    a, b = (packing.pack(counts.repartition(n), [100]) for n in (1, 9))
+    listed = lambda df: sorted(map(repr, df.collect()))
+    assert listed(a) == listed(b)
+    assert a.where("doc_id IS NULL").select("container").distinct().count() == 150
+    assert a.where("doc_id = 7").count() == 151 and a.where("doc_id = 7").select(F.shiftright("container", 24)).distinct().count() > 2
