@@ -1,12 +1,16 @@
 """Personal information in free text: found, scored, replaced by typed placeholders.
 
 Regular expressions propose spans; validators (Luhn, mod-97, and the check digits of tax and insurance numbers) raise the
-score of those they confirm; words close by raise or lower it; spans that reach ACCEPT stay. Where spans overlap the
-higher score wins, then the longer one, then the earlier one. All of it happens where the text is read: nothing is
-shuffled, and only the spans, or the rewritten text, leave the stage.
+score of those they confirm, and a number that a strong validator confirms needs no word beside it; words close by
+raise or lower the score; spans that reach ACCEPT stay. Where spans overlap the higher score wins, then the longer one,
+then the earlier one. All of it happens where the text is read: nothing is shuffled, and only the spans, or the rewritten
+text, leave the stage.
 
-Kinds: email, phone, id_number, address, person_name. Names that the given list holds are public and stay, in either
-order of first and family name and also with the first name cut to its initial.
+Kinds: email, phone, id_number, address, person_name. Names are told by initials, a patronymic, a cue before them, or,
+in a plain sentence, by a score of their shape, a common given name, the ending of the family name and the words beside
+them. Names that the given list holds are public and stay, in either order of first and family name and also with the
+first name cut to its initial. A list of more than MAX_NAMES names isn't broadcast: the candidates of each text are joined
+with it, and each text is then read with those that it holds.
 
 Defined results: a null text gives no spans and stays null; an empty text stays empty; a very long text is read whole;
 equal texts give equal spans; a null or empty name list spares nobody.
@@ -21,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftmill.session import spread
+from driftmill.session import cut, join_hot, spread
 
 ACCEPT = 1.0
-#: Names of the list up to which it travels with the job; a longer list is refused rather than broadcast.
+#: Names of the list up to which it travels with the job; a longer list is joined with the candidates of the texts.
 MAX_NAMES = 1_000_000
 #: Characters before and after a span whose words count as its context.
 BEFORE, AFTER = 48, 32
@@ -103,6 +107,19 @@ _CUED = re.compile(
     rf"(?:{_RU_FAMILY},? {_RU_GIVEN}(?: {_RU_FATHER})?|{_RU_GIVEN}(?: {_RU_FATHER})? {_RU_FAMILY}|(?:{_INITIAL} ?){{1,2}}(?:{_RU_FAMILY}|[А-ЯЁ][а-яё]+|{_EN_WORD})|[А-ЯЁ][а-яё]+ {_INITIAL} ?(?:{_INITIAL})?"
     rf"|(?:{_EN_WORD}), (?:{_EN_WORD})(?: [A-Z]\.)?|(?:{_EN_WORD})(?: [A-Z]\.){{0,2}} (?:{_EN_WORD})|{_EN_WORD} (?:{_INITIAL} ?){{1,2}}|{_RU_GIVEN} [А-ЯЁ][а-яё]+)(?![\w-])|[А-ЯЁ][а-яё]+ (?:{_INITIAL} ?){{1,2}}"
 )
+#: Common given names (fixed values), for names in plain sentences; Russian ones without the last vowel of their endings.
+GIVEN = frozenset(
+    "james john robert michael william david richard joseph thomas charles christopher daniel matthew anthony mark paul steven andrew kenneth george joshua kevin brian edward ronald timothy jason jeffrey ryan jacob gary nicholas eric peter henry oliver harry jack simon martin alan"
+    " mary patricia jennifer linda elizabeth barbara susan jessica sarah karen nancy lisa margaret betty sandra ashley emily donna michelle carol amanda melissa deborah stephanie laura helen anna emma olivia sophie lucy alice jane kate julia claire rachel"
+    " александр алекс дмитри максим серге андре алексе артём артем иль кирилл михаил никит матве роман егор иван денис евгени даниил тимофе владислав игор владимир павел павл руслан марк константин тимур олег ярослав антон никола данил василь пётр петр юри виктор борис григори фёдор федор степан"
+    " анастаси мари анн виктори екатерин наталь марин полин софь софи дарь алис ксени александр елен ольг татьян ирин светлан юли вер надежд любов людмил галин валентин тамар нин лиди евгени оксан кристин яна ян".split()
+)
+_PLAIN_EN = re.compile(rf"(?<![\w’'.-])([A-Z][a-z]+)(?: [A-Z]\.)? ((?:O['’]|Mc|Mac)?[A-Z][a-z]+(?:-[A-Z][a-z]+)?)(?![\w’'-])")
+_PLAIN_RU = re.compile(r"(?<![\w-])([А-ЯЁ][а-яё]+) ([А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?)(?![\w-])")
+_FAMILY_END = re.compile(r"(?:[оеё]в|[иы]н|ск|цк)(?:а|у|ым|ой|е|ы|ых|ий|ая|ого|ому|им)?$|(?:енко|чук|юк|ян|швили)$|(?:son|man|ton|ley|field|ford|well|sky|ski|ez|er|es)$|^(?:O['’]|Mc|Mac)[A-Z]")
+_GIVEN_END = re.compile(r"[аяуюейоымь]{1,3}$")
+_PERSON_WORDS = re.compile(r"сказал|говорит|пишет|написал|живёт|живет|работает|сосед|друг|подруг|коллег|знаком|родил|позвон|врач|учител|господин|госпож|\bsaid\b|\bsays\b|lives|wrote|works|neighbou?r|friend|colleague|\bmet\b|\bmrs?\b|\bms\b|\bdr\b|born|called|emailed|teacher|doctor", re.IGNORECASE)
+_NO_PERSON = re.compile(r"студи|сериал|фильм|роман\b|город|улиц|премия|studio|film|series|novel|street|city|award|episode|press|prize", re.IGNORECASE)
 _FATHER_HINT = re.compile(r"[а-я](?:вич|вна|ична|ич)\b")
 _INITIAL_HINT = re.compile(r"(?<!\w)[А-ЯЁ]\.")
 
@@ -134,20 +151,48 @@ def inn(digits: str) -> bool:
 _VALID = {"snils": snils, "inn": inn, "luhn": luhn}
 
 
+def proven(check: str, digits: str) -> bool:
+    """Whether a confirmed number needs no word beside it: its check is hardly met by chance among numbers of its length, and it isn't one digit repeated."""
+    return (check == "luhn" or len(digits) > 10) and len(set(digits)) > 1
+
+
+def name_parts(name: str) -> list[str]:
+    return [p.lower() for p in re.findall(r"[\w’'-]+", name)]
+
+
+def public_forms(name: str | None) -> set[str]:
+    """Every form in which a text may give a public name, its parts sorted."""
+    parts = name_parts(name or "")
+    if len(parts) < 2:
+        return set()
+    first, family = parts[0], parts[-1]
+    return {" ".join(sorted(x)) for x in ((first, family), (first[0], family), parts)}
+
+
+def asked_forms(name: str) -> set[str]:
+    """The forms by which a name found in a text is looked up."""
+    parts = name_parts(name)
+    return {" ".join(sorted(parts))} | ({" ".join(sorted((parts[0], parts[-1])))} if len(parts) > 2 else set())
+
+
 class Known:
-    """Public names, in every form in which a text may give them."""
+    """Public names, or their forms as they are."""
 
-    def __init__(self, names: list[str]):
-        self.forms: set[tuple[str, ...]] = set()
+    def __init__(self, names: list[str | None], forms: list[str] | None = None):
+        self.forms: set[str] = set(forms or ())
         for name in names:
-            parts = [p.lower() for p in re.findall(r"[\w’'-]+", name or "")]
-            if len(parts) >= 2:
-                first, family = parts[0], parts[-1]
-                self.forms |= {tuple(sorted((first, family))), tuple(sorted((first[0], family))), tuple(sorted(parts))}
+            self.forms |= public_forms(name)
 
     def __contains__(self, name: str) -> bool:
-        parts = [p.lower() for p in re.findall(r"[\w’'-]+", name)]
-        return tuple(sorted(parts)) in self.forms or len(parts) > 2 and tuple(sorted((parts[0], parts[-1]))) in self.forms
+        return bool(self.forms) and not self.forms.isdisjoint(asked_forms(name))
+
+
+class Asked(Known):
+    """Knows no name, but notes the forms by which names are looked up."""
+
+    def __contains__(self, name: str) -> bool:
+        self.forms |= asked_forms(name)
+        return False
 
 
 Span = tuple[float, int, int, str]
@@ -187,7 +232,7 @@ def _numbers(text: str, low: str) -> Iterator[Span]:
                     break
             for shape, score, check in _IDS:
                 if shape.fullmatch(part):
-                    confirmed = 0.5 if check and _VALID[check](digits) else 0.0
+                    confirmed = (0.5 if not proven(check, digits) else max(0.5, ACCEPT - score)) if check and _VALID[check](digits) else 0.0
                     yield score + ident + confirmed - other - (0.5 if phone and not ident else 0), a + lo, a + hi, "id_number"
                     break
     for m in _IBAN.finditer(text):
@@ -206,6 +251,36 @@ def _names(text: str, low: str, known: Known) -> Iterator[Span]:
         m = _CUED.match(text, cue.end())
         if m and m[0] not in known:
             yield 1.2, m.start(), m.start() + len(m[0].rstrip()), "person_name"
+    for shape in (_PLAIN_EN, _PLAIN_RU):
+        at = 0
+        while m := shape.search(text, at):
+            score = plain_score(text, m)
+            at = m.end() if score >= ACCEPT else m.end(1)
+            if score >= ACCEPT and m[0] not in known:
+                yield min(score, 1.1), m.start(), m.end(), "person_name"
+
+
+def given(word: str) -> bool:
+    """Whether a word is a common given name, in any case of its declension."""
+    low = word.lower()
+    return low in GIVEN or low[0] >= "а" and (_GIVEN_END.sub("", low) in GIVEN or low[:-1] in GIVEN or low[:-2] in GIVEN and len(low) > 4)
+
+
+def plain_score(text: str, m: re.Match) -> float:
+    """Score of two capitalised words in a plain sentence as given and family name, in either order."""
+    first, last = m[1], m[2]
+    if not (known := given(first)) and not (given(last) and first[0] >= "А" and _FAMILY_END.search(first)):
+        return 0.0
+    if known and given(last) and not _FAMILY_END.search(last):
+        return 0.0
+    score = 1.0 if known else 0.9
+    score += 0.3 if _FAMILY_END.search(last if known else first) else 0.0
+    near = _context(text, m.start(), m.end())
+    score += 0.2 if _PERSON_WORDS.search(near) else 0.0
+    before, after = text[max(0, m.start() - 2) : m.start()], text[m.end() : m.end() + 2]
+    if before[-1:] in ("«", "“", '"') or after[:1] in ("»", "”", '"') or re.match(r" [A-ZА-ЯЁ]", after) or re.search(r"[A-ZА-ЯЁ] $", before):
+        score -= 0.5  # a title, or part of a longer name of something
+    return score - (0.4 if _NO_PERSON.search(near) else 0.0)
 
 
 def find(text: str, known: Known) -> list[tuple[str, int, int, float]]:
@@ -236,39 +311,63 @@ def redact(text: str, known: Known) -> str:
     return "".join([*out, text[at:]])
 
 
-def _known(names: DataFrame | None, column: str) -> list[str]:
-    if names is None:
-        return []
-    rows = names.where(F.col(column).isNotNull()).select(column).limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} public names; raise MAX_NAMES if the executors' memory allows it")
-    return [r[0] for r in rows]
+def _read_with(df: DataFrame, key: str, text: str, names: DataFrame | None, name: str, limit: int) -> tuple[DataFrame, object]:
+    """Rows (key, text, forms of public names in it) and the public names that travel with the job; one of both is empty."""
+    rows = df.select(key, text)
+    listed = None if names is None else names.where(F.col(name).isNotNull()).select(F.col(name).alias("__name"))
+    told = [] if listed is None else [r[0] for r in listed.limit(limit + 1).collect()]
+    empty = F.array().cast("array<string>").alias("__forms")
+    if len(told) <= limit:
+        return rows.select(key, text, empty), df.sparkSession.sparkContext.broadcast(told)
 
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(sorted({f for n in batch.column(0).to_pylist() for f in public_forms(n)}), pa.string())], names=["form"])
 
-def pii_spans(df: DataFrame, key: str, text: str, names: DataFrame | None = None, name: str = "full_name") -> DataFrame:
-    """A row for every span: key, pii_kind, pii_text, begin, end, score."""
-    listed = df.sparkSession.sparkContext.broadcast(_known(names, name))
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, out = [], []
+            for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                notes = Asked([])
+                find(t, notes)
+                ids += [h] * len(notes.forms)
+                out += sorted(notes.forms)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.string())], names=["__text", "form"])
+
+    # texts are told apart by their digest, so keys may repeat; a public name may stand in a third of all texts
+    rows = rows.withColumn("__text", F.sha2(text, 256))
+    candidates = rows.where(F.col(text).isNotNull()).select("__text", text).mapInArrow(asked, "__text string, form string").distinct()
+    public = listed.mapInArrow(forms, "form string").distinct()
+    held = cut(join_hot(candidates, public, "form", "left_semi").groupBy("__text").agg(F.collect_set("form").alias("__forms")))
+    return join_hot(rows, held, "__text", "left").select(key, text, F.coalesce("__forms", F.array().cast("array<string>")).alias("__forms")), df.sparkSession.sparkContext.broadcast([])
+
+
+def pii_spans(df: DataFrame, key: str, text: str, names: DataFrame | None = None, name: str = "full_name", limit: int = MAX_NAMES) -> DataFrame:
+    """A row for every span: key, pii_kind, pii_text, begin, end, score. limit: public names up to which they are broadcast."""
+    rows, listed = _read_with(df.where(F.col(text).isNotNull()), key, text, names, name, limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known(listed.value)
         for batch in batches:
-            rows = [(i, kind, t[a:b], a, b, s) for i, t in enumerate(batch.column(1).to_pylist()) for kind, a, b, s in find(t, known)]
+            own = (Known([], f) if f else known for f in batch.column(2).to_pylist())
+            rows = [(i, kind, t[a:b], a, b, s) for i, (t, k) in enumerate(zip(batch.column(1).to_pylist(), own, strict=True)) for kind, a, b, s in find(t, k)]
             cols = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int64())), *(pa.array(c, t) for c, t in zip(cols[1:], (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64()), strict=True))], names=[key, "pii_kind", "pii_text", "begin", "end", "score"])
 
-    return df.where(F.col(text).isNotNull()).select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, pii_kind string, pii_text string, begin int, end int, score double")
+    return rows.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, pii_kind string, pii_text string, begin int, end int, score double")
 
 
-def redacted(df: DataFrame, key: str, text: str, names: DataFrame | None = None, name: str = "full_name") -> DataFrame:
-    """Every row's key and its text with placeholders."""
-    listed = df.sparkSession.sparkContext.broadcast(_known(names, name))
+def redacted(df: DataFrame, key: str, text: str, names: DataFrame | None = None, name: str = "full_name", limit: int = MAX_NAMES) -> DataFrame:
+    """Every row's key and its text with placeholders. limit: public names up to which they are broadcast."""
+    rows, listed = _read_with(df, key, text, names, name, limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known(listed.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if t is None else redact(t, known) for t in batch.column(1).to_pylist()], pa.string())], names=[key, text])
+            own = (Known([], f) if f else known for f in batch.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if t is None else redact(t, k) for t, k in zip(batch.column(1).to_pylist(), own, strict=True)], pa.string())], names=[key, text])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, `{text}` string")
+    return rows.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, `{text}` string")
 
 
 def found(documents: DataFrame, names: DataFrame) -> DataFrame:

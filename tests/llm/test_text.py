@@ -226,3 +226,27 @@ def test_redaction_changes_nothing_else(spark):
     assert {tuple(r) for r in pii.found(df, names).collect()} == {(1, "email", "a@b.example")}
     assert [r["text"] for r in pii.redacted(df, "doc_id", "text").orderBy("doc_id").collect()] == ["[EMAIL]", "[EMAIL]", None, ""]
     assert pii.found(df.limit(0), names.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("card 4111 1111 1111 1111, ok", [("id_number", "4111 1111 1111 1111")]),
+        ("see 11223344595 there", [("id_number", "11223344595")]), ("ISBN 9780306406157", []), ("0000000000000000", []), ("4111 1111 1111 1112", []),
+        ("I saw John Smith at the shop.", [("person_name", "John Smith")]), ("Yesterday Mary O'Connor came.", [("person_name", "Mary O'Connor")]), ("The doctor, Peter Brown, was late.", [("person_name", "Peter Brown")]),
+        ("Вчера Иван Петров приходил к Марии Сидоровой.", [("person_name", "Иван Петров"), ("person_name", "Марии Сидоровой")]),
+        ("The novel “John Smith” and John Smith Street, Mark Twice Award. Фильм «Иван Петров»", []),
+        ("Anna Domori Boquashi. Большой Иванов дом. Mary met Peter.", []),
+    ],
+)
+def test_pii_without_a_word_beside_it(text, want):
+    assert [(k, text[a:b]) for k, a, b, _ in pii.find(text, KNOWN)] == want
+
+
+def test_more_public_names_than_are_broadcast(spark, rows):
+    texts = ["My name is Domori Boquashi.", "Regards, Twistlewood, Clement", "С уважением, Д. Бокваши", None, "Вчера Иван Петров и John Smith писали на a@b.example"]
+    df = spark.createDataFrame([(i % 4, t, "x") for i, t in enumerate(texts * 2)], "doc_id int, text string, form string")
+    names = spark.createDataFrame([("Domori Boquashi",), ("Домори Бокваши",), ("Иван Петров",), (None,), ("x",)], "full_name string")
+    near, far = (sorted(pii.pii_spans(df, "doc_id", "text", names, limit=n).collect()) for n in (100, 1))
+    assert near == far and {r["pii_text"] for r in far} == {"Twistlewood, Clement", "John Smith", "a@b.example"}
+    assert sorted(map(repr, pii.redacted(df, "doc_id", "text", names, limit=1).collect())) == sorted(map(repr, pii.redacted(df, "doc_id", "text", names).collect()))
