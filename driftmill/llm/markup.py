@@ -4,10 +4,13 @@ A text may mix HTML, BBCode, Markdown, wiki and LaTeX markup. Code and formulas
 so nothing inside them is read as markup. All other marks are turned into one line grammar, and its lines become blocks:
 heading, list_item, code_block, formula and paragraph, each with the container it stands in.
 
-Which blocks are content is decided for all blocks of a document together, as a minimum cut: a linear classifier's cost
-of each label is the capacity to source or sink, neighbours and blocks of one container are joined by smoothness edges,
-and a maximum flow separates content from boilerplate. If every block prefers the same label by itself, that labelling
-is the minimum cut, and no flow has to be computed.
+Which blocks are content is decided for all blocks of a document together, as a minimum cut. A linear classifier's costs of
+the two labels are the capacities to source and sink. It is fitted on blocks of the tables themselves that are labelled
+by their class or by their repetition, starting from PRIOR, from which few labels move it little and none not at all.
+Neighbours, and blocks next to each other in one container, are joined by smoothness edges that weaken with the distance
+of their containers in the document tree, and a maximum flow separates content from boilerplate: a short line of no clear
+kind goes with what surrounds it. If every block prefers the same label by itself, that labelling is the minimum cut, and
+no flow has to be computed.
 
 Defined results: a null or empty text has no blocks; marks that are never closed count as text; a heading, item, code
 block or formula without text is none; a dollar sign before a price is no formula; inline code is text.
@@ -16,11 +19,13 @@ block or formula without text is none; a dollar sign before a price is no formul
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +85,7 @@ class Block:
     text: str
     container: int
     level: int = 0
+    path: tuple[int, ...] = ()  # containers from the outermost to its own
 
 
 def _bare(text: str, aside: list[tuple[str, str]]) -> str:
@@ -163,10 +169,10 @@ def blocks(text: str | None) -> list[Block]:
         for m in _SET_ASIDE.finditer(raw) if MARK in raw else ():
             what, body = aside[int(m[1])]
             if body.strip():
-                out.append(Block(what, body if what == "code_block" else body.strip(), stack[-1]))
+                out.append(Block(what, body if what == "code_block" else body.strip(), stack[-1], 0, tuple(stack)))
         alone = _SET_ASIDE.sub("", raw) if MARK in raw else raw
         if alone.strip() and (bare := _bare(raw, aside)):
-            out.append(Block(kind, bare, stack[-1], level))
+            out.append(Block(kind, bare, stack[-1], level, tuple(stack)))
 
     i = 0
     while i < n:
@@ -178,7 +184,7 @@ def blocks(text: str | None) -> list[Block]:
             containers += 1
             if line.startswith(f"{OPEN}marker"):
                 if bare := _bare(line[7:].rstrip(SHUT), aside):
-                    out.append(Block("marker", bare, containers))
+                    out.append(Block("marker", bare, containers, 0, (*stack, containers)))
                 continue
             stack.append(containers)
             continue
@@ -218,18 +224,68 @@ def blocks(text: str | None) -> list[Block]:
 
 # --- labelling
 
-#: Words that mark chrome rather than content, and how much each feature costs the label "content" (fixed values).
+#: Words that mark chrome rather than content (fixed values).
 _CHROME = re.compile(r"^(?:spoiler|спойлер|share|поделиться|реклама|advertisement|read (?:also|more)|читайте также|follow us|подпи(?:сывайтесь|шитесь).*|подробнее|наверх|распечатать|комментарии|comments|log ?in|войти|©.*|all rights reserved.*|все права .*)$", re.IGNORECASE)
-BASE, PER_WORD, WORDS, STRUCTURE, CHROME, MARKER = 1.0, 0.15, 20, 3.0, 4.0, 6.0
-#: Capacity of the edge between neighbours, and between blocks next to each other in one container.
-NEXT, SAME = 0.3, 0.2
+STRUCTURE = frozenset(("heading", "list_item", "code_block", "formula"))
+#: Weights from which fitting starts, for the label content: bias, structure, words (up to WORDS), wording of chrome, marker class, end of a sentence.
+PRIOR, WORDS = (1.0, 3.0, 0.15, -4.0, -6.0, 0.5), 20
+#: Labelled texts that the classifier is fitted on at most, their length at most, the weight of the prior; repeats from which a short line counts as boilerplate.
+MAX_TEXTS, MAX_CHARS, PRIOR_WEIGHT, REPEATED = 2000, 20_000, 20, 20
+#: Capacity of the edge between neighbours of one container, and between blocks next to each other in one container.
+NEXT, SAME = 0.8, 0.4
 
 
-def costs(block: Block) -> tuple[float, float]:
-    """Cost of the labels content and boilerplate."""
-    keep = BASE + PER_WORD * min(WORDS, block.text.count(" ") + 1) + (STRUCTURE if block.kind in ("heading", "list_item", "code_block", "formula") else 0)
-    drop = (CHROME if block.kind == "paragraph" and len(block.text) < 120 and _CHROME.match(block.text) else 0) + (MARKER if block.kind == "marker" else 0)
-    return drop, keep
+def features(block: Block) -> tuple[float, ...]:
+    short = block.kind == "paragraph" and len(block.text) < 120
+    return (1.0, float(block.kind in STRUCTURE), float(min(WORDS, block.text.count(" ") + 1)), float(short and bool(_CHROME.match(block.text))), float(block.kind == "marker"), float(block.kind == "paragraph" and block.text[-1:] in ".!?…:;»”)"))
+
+
+def fit(rows: list[tuple[tuple[float, ...], bool]], steps: int = 25) -> tuple[float, ...]:
+    """Weights of a logistic classifier of content, from (features, is content): the likeliest under a normal prior around PRIOR.
+
+    Newton's method. Both labels weigh the same as a whole; without rows of both the weights are PRIOR.
+    """
+    if len({y for _, y in rows}) < 2:
+        return PRIOR
+    x, y = np.array([f for f, _ in rows]), np.array([float(k) for _, k in rows])
+    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())) * len(y)
+    w = prior = np.array(PRIOR)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (p - y)) + PRIOR_WEIGHT * (w - prior)
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + PRIOR_WEIGHT * np.eye(len(w))
+        step = np.linalg.solve(curve, slope)
+        w = w - step
+        if abs(step).max() < 1e-9:
+            break
+    return tuple(float(v) for v in w)
+
+
+def labelled(texts: list[str]) -> list[tuple[tuple[float, ...], bool]]:
+    """Blocks of texts with labels: boilerplate by their class, or as short lines that stand in REPEATED texts; the rest is content."""
+    found = [blocks(t) for t in texts]
+    times: dict[str, int] = {}
+    for bs in found:
+        for t in {b.text for b in bs if b.kind == "paragraph" and len(b.text) < 60}:
+            times[t] = times.get(t, 0) + 1
+    return [(features(b), b.kind != "marker" and not (b.kind == "paragraph" and times.get(b.text, 0) >= REPEATED)) for bs in found for b in bs]
+
+
+def costs(block: Block, weights: tuple[float, ...] = PRIOR) -> tuple[float, float]:
+    """Cost of the labels content and boilerplate: their negative log-likelihood."""
+    f = sum(w * x for w, x in zip(weights, features(block), strict=True))
+    small = math.log1p(math.exp(-abs(f)))
+    return (small, f + small) if f >= 0 else (small - f, small)
+
+
+def distance(a: Block, b: Block) -> int:
+    """Steps between the containers of two blocks in the document tree."""
+    same = 0
+    for x, y in zip(a.path, b.path, strict=False):
+        if x != y:
+            break
+        same += 1
+    return len(a.path) + len(b.path) - 2 * same
 
 
 def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -303,31 +359,33 @@ def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int,
                 nth[a] += 1
 
 
-def content(found: list[Block]) -> list[Block]:
-    """The blocks that the minimum cut labels content."""
-    pairs = [costs(b) for b in found]
+def content(found: list[Block], weights: tuple[float, ...] = PRIOR, smooth: bool = True) -> list[Block]:
+    """The blocks that the minimum cut labels content. smooth: with edges between blocks."""
+    pairs = [costs(b, weights) for b in found]
     prefer = [keep >= drop for drop, keep in pairs]
     if all(prefer):
         return found
     if not any(prefer):
         return []
-    edges = [(i, i + 1, NEXT) for i in range(len(found) - 1)]
-    last: dict[int, int] = {}
-    for i, b in enumerate(found):
-        if b.container in last:
-            edges.append((last[b.container], i, SAME))
-        last[b.container] = i
+    edges: list[tuple[int, int, float]] = []
+    if smooth:
+        edges = [(i, i + 1, NEXT / (1 + distance(found[i], found[i + 1]))) for i in range(len(found) - 1)]
+        last: dict[int, int] = {}
+        for i, b in enumerate(found):
+            if b.container in last:
+                edges.append((last[b.container], i, SAME))
+            last[b.container] = i
     labels = min_cut([keep for _, keep in pairs], [drop for drop, _ in pairs], edges)
     return [b for b, keep in zip(found, labels, strict=True) if keep]
 
 
-def clean(text: str | None) -> str | None:
+def clean(text: str | None, weights: tuple[float, ...] = PRIOR) -> str | None:
     """Clean text: Markdown for the structure that stays, one block a paragraph, items of a list on adjacent lines."""
     if text is None:
         return None
     out: list[str] = []
     before = ""
-    for b in content(blocks(text)):
+    for b in content(blocks(text), weights):
         if b.kind == "heading":
             line = f"{'#' * max(1, b.level)} {b.text}"
         elif b.kind == "list_item":
@@ -343,20 +401,26 @@ def clean(text: str | None) -> str | None:
     return "".join(out)
 
 
-def elements(text: str | None) -> list[tuple[str, str]]:
+def elements(text: str | None, weights: tuple[float, ...] = PRIOR) -> list[tuple[str, str]]:
     """(kind, bare text) of every heading, list item, code block and formula among the content."""
     if not text:
         return []
-    return [(b.kind, b.text) for b in content(blocks(text)) if b.kind in ("heading", "list_item", "code_block", "formula")]
+    return [(b.kind, b.text) for b in content(blocks(text), weights) if b.kind in STRUCTURE]
+
+
+def learned(df: DataFrame, text: str) -> tuple[float, ...]:
+    """Weights fitted on the labelled texts of a table: those with a marker class, at most MAX_TEXTS of at most MAX_CHARS, the first by their hash."""
+    rows = df.where(F.contains(text, F.lit("marker")) & (F.length(text) <= MAX_CHARS)).select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(MAX_TEXTS).collect()
+    return fit(labelled([r["t"] for r in rows]))
 
 
-def markup_elements(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def markup_elements(df: DataFrame, keys: list[str], text: str, weights: tuple[float, ...] = PRIOR) -> DataFrame:
     """A row for every element: the keys, ordinal from 0, element_kind, element_text. Extra columns aren't read."""
     fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, n, kind, body) for i, t in enumerate(batch.column(len(keys)).to_pylist()) for n, (kind, body) in enumerate(elements(t))]
+            rows = [(i, n, kind, body) for i, t in enumerate(batch.column(len(keys)).to_pylist()) for n, (kind, body) in enumerate(elements(t, weights))]
             cols = list(zip(*rows, strict=True)) or [()] * 4
             take = pa.array(cols[0], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(i).take(take) for i in range(len(keys))] + [pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=[*keys, "ordinal", "element_kind", "element_text"])
@@ -364,13 +428,13 @@ def markup_elements(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return df.where(F.length(text) > 0).select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{fields}, ordinal int, element_kind string, element_text string")
 
 
-def clean_texts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def clean_texts(df: DataFrame, keys: list[str], text: str, weights: tuple[float, ...] = PRIOR) -> DataFrame:
     """Every row's keys and its clean text."""
     fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array([clean(t) for t in batch.column(len(keys)).to_pylist()], pa.string())], names=[*keys, "clean_text"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array([clean(t, weights) for t in batch.column(len(keys)).to_pylist()], pa.string())], names=[*keys, "clean_text"])
 
     return df.select(*keys, F.col(text).alias("__text")).mapInArrow(run, f"{fields}, clean_text string")
 
@@ -393,8 +457,11 @@ def _tables(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def found(tables: dict[str, DataFrame]) -> DataFrame:
-    return markup_elements(_tables(tables), ["source_table", "record_key"], "body").select("source_table", "record_key", "element_kind", text_md5("element_text").alias("element_md5")).distinct()
+    rows = _tables(tables)
+    told = markup_elements(rows, ["source_table", "record_key"], "body", learned(rows, "body"))
+    return told.select("source_table", "record_key", "element_kind", text_md5("element_text").alias("element_md5")).distinct()
 
 
 def cleaned(tables: dict[str, DataFrame]) -> DataFrame:
-    return clean_texts(_tables(tables), ["source_table", "record_key"], "body")
+    rows = _tables(tables)
+    return clean_texts(rows, ["source_table", "record_key"], "body", learned(rows, "body"))

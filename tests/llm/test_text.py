@@ -250,3 +250,39 @@ def test_more_public_names_than_are_broadcast(spark, rows):
     near, far = (sorted(pii.pii_spans(df, "doc_id", "text", names, limit=n).collect()) for n in (100, 1))
     assert near == far and {r["pii_text"] for r in far} == {"Twistlewood, Clement", "John Smith", "a@b.example"}
     assert sorted(map(repr, pii.redacted(df, "doc_id", "text", names, limit=1).collect())) == sorted(map(repr, pii.redacted(df, "doc_id", "text", names).collect()))
+
+
+AROUND = "<div><p>Реклама</p><p>Смотри тут</p><p>Подробнее</p></div><p>Длинный абзац о сериале, который стоит прочитать целиком.</p>"
+
+
+def test_edges_decide_on_lines_of_no_clear_kind():
+    told = lambda t, smooth: [b.text for b in markup.content(markup.blocks(t), smooth=smooth)]
+    end = "Длинный абзац о сериале, который стоит прочитать целиком."
+    assert told(AROUND, True) == [end] and told(AROUND, False) == ["Смотри тут", end]
+    assert told(f"<p>{end}</p><p>Смотри тут</p><p>{end}</p>", True) == [end, "Смотри тут", end]
+    apart = AROUND.replace("<p>Смотри тут</p>", "<section><div><p>Смотри тут</p></div></section>")  # further off in the tree
+    assert told(apart, True) == ["Смотри тут", end]
+
+
+def test_distance_in_the_tree():
+    a, b, c = markup.blocks("<div><p>a</p><section><p>b</p></section></div><p>c</p>")
+    assert (markup.distance(a, a), markup.distance(a, b), markup.distance(b, c), markup.distance(a, c)) == (0, 1, 2, 1)
+
+
+def test_costs_are_fitted_on_labelled_blocks():
+    assert markup.fit([]) == markup.PRIOR and markup.fit(markup.labelled(["<p>только текст.</p>"])) == markup.PRIOR
+    texts = [f"<span class='marker'>spoiler</span><p>Перейти к магазину</p><p>Текст номер {i}, в котором {i * 7} слов и больше.</p><h2>Глава {i}</h2>" for i in range(400)]
+    before, after = markup.PRIOR, markup.fit(markup.labelled(texts))
+    line, head = markup.blocks("<p>Перейти к магазину</p><h2>Глава</h2>")
+    assert markup.costs(line, before)[0] < markup.costs(line, before)[1] and markup.costs(line, after)[0] > markup.costs(line, after)[1]
+    assert markup.costs(head, after)[0] < 0.1 * markup.costs(head, after)[1]
+
+
+@pytest.mark.parametrize("name", ["reviews", "news", "animes"])
+def test_elements_are_the_content_blocks_of_every_text(spark, name):
+    key, column = {n: (k, c) for n, k, c in markup.SOURCES}[name]
+    texts = [r[0] for r in spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").select(column).collect()]
+    assert any(texts)
+    for t in texts:
+        assert elements(t) == [(b.kind, b.text) for b in markup.content(markup.blocks(t)) if b.kind in markup.STRUCTURE]
+        assert all(elements(x) == elements(x + "\n\n$$x$$")[:-1] for x in [t or ""] if "$" not in x and "`" not in x and "~" not in x)
