@@ -1,34 +1,44 @@
 """Template residue, filler, error pages and script notices in place of content.
 
-Records are split into parts (heading, title, description, body) and parts into sentences. Sentences go through a
-fixed-depth prefix tree: by number of words, then by the first DEPTH words with numbers masked; within a leaf a sentence
-joins the most similar template, and places where the two differ become wildcards. Each task grows its own tree; where
-it gets too large only templates that are no messages are dropped. Every distinct template is then judged once, and
-verdicts go back to the sentences by the template's hash. A sentence of any length that is a message by itself counts as
-its own template, so what else a task holds can't hide it. Slots that were never filled are found apart from that, inside ordinary records too.
+Records are split into parts (heading, title, description, body) and parts into sentences. A sentence is a candidate if
+half of its words are words that messages are made of, as its words of meaning or between them; a part of which candidates
+and unfilled slots make up less than SHARE of the characters can't be residue and goes no further, so ordinary texts leave
+the stage that reads them with nothing. Equal candidates are counted, and go through a fixed-depth prefix tree: by number of
+words, then by the first DEPTH words with numbers masked; within a leaf, most frequent first, a sentence joins the most
+similar template, and places where the two differ become wildcards. A leaf of more than LEAF sentences is split by its
+first DEEP words, and what is still larger is left as it is, each sentence a template. Every template is classified
+once, by a model fitted on SEEDS and PLAIN over its words, its fixed wording and the number of parts that it stands in,
+and verdicts go back to the sentences by hash. A sentence that is a message by itself stays one, whatever its template.
+The tree is built from counts of all records, so results don't depend on partitions or on the order of rows. Slots that
+were never filled are found apart from that, inside ordinary records too.
 
 A part is residue if sentences of residue make up at least SHARE of its characters. Empty parts are nothing, and
-sentences that only mention a slot or a message among other words aren't residue, as the wording must match as a whole.
+sentences that only mention a slot or a message among other words aren't residue.
 
 Defined results: null and empty parts are left out; a record without any text isn't listed; very long texts are read
-whole; repeated records count once; an empty table gives no rows.
+whole; rows of one key are judged each by itself, and the key counts once; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftmill.llm import pages
-from driftmill.session import cut, join_hot, spread
+from driftmill.session import broadcast_if_small, cut, join_hot, spread
 
-#: First words that make the path to a leaf, share of equal words from which a sentence joins a template, templates of a leaf, and words of a task's tree, from which templates that are no messages are dropped.
-DEPTH, SIMILAR, MAX_IN_LEAF, MAX_TREE = 3, 0.6, 50, 2_000_000
+#: First words that make the path to a leaf, and to a part of a large one; share of equal words from which a sentence joins a template; sentences of a leaf.
+DEPTH, DEEP, SIMILAR, LEAF = 3, 8, 0.6, 2000
+#: Words up to which a sentence goes through the tree; longer ones are classified by themselves. Share of a candidate's words that must be of messages.
+LONG, COVERED = 40, 0.5
 #: Share of a part's characters that must be residue.
 SHARE = 0.9
 WILD = "<*>"
@@ -83,57 +93,143 @@ def only_slots(sentence: str) -> bool:
     return n > 0 and not _OUTSIDE.search(rest)
 
 
-def judge(template: str) -> str | None:
-    """Kind of message that a template is, or None. A template with wildcards is judged by the words that stayed."""
-    plain = " ".join(template.replace(WILD, "0").split())
-    if not plain or plain == "0":
-        return "error" if plain and WILD not in template else None
-    for kind, shape in _JUDGE.items():
-        if shape.fullmatch(plain):
-            return kind
-    return None
+# --- the model
+
+#: Beginnings of the words that messages are made of, by their role, and words that stand between them (fixed values).
+ROLES = {
+    "subject": "page site website server connect request access account address link url file document resource content service application app host gateway database session token domain user browser javascript js script cookie captcha robot bot network traffic system api administrator internal video image страниц сайт сервер соедин подключ запрос доступ аккаунт адрес ссылк файл документ ресурс контент сервис приложен шлюз баз данны сесси время домен пользовател браузер скрипт куки капч робот сеть сети базе базы систем материал администратор внутренн",
+    "state": "found missing delet remov expir unavailable denied deny block limit timed timeout out fail error forbid restrict invalid broken clos disabl down unauthor overload exceed maintenance gone unsupport outdat suspend bann moved redirect unknown wrong reject refus interrupt unreachable offline rate exist display support brok найд найт найден существу удал истек истёк недоступ отказ заблокир огранич превы ошибк сбой запре закры отключ неверн недейств перегруж обслужив пуст перемещ перенес переех прерван невозможн неизвестн произош авторизован отказан отклон поддержив устарел техническ временно",
+    "action": "enabl allow turn accept reload refresh retr try tries again later wait check verif confirm prov log logged login sign continue view return back home contact click updat install switch load loading shown human required require need must включ разреш обнов увидеть попроб повтор позже подожд провер подтверд войд войти авториз зарегистр продолж верн перейд перейт нажм установ загру требуется необходимо",
+    "filler": "lorem ipsum dolor amet placeholder dummy sample filler test untitled undefined null nan todo coming soon asdf qwerty заглушк заполнител образец пример рыб тест скоро появится заполн описани заголов текст text title description goes insert вставьте",
+}
+BETWEEN = frozenset(
+    "the a an this that these those is are was were has have had been be being to for of in on at by with or and not no nor your you we our it its from can could cannot will would may might if so as do does did please sorry there here too many much more some any all once only just oops until when while he"
+    " здесь такой такая такого не ни в на и для с со по к из от это эта этот эту этой этого вы вам вас ваш ваша ваше вашего мы нас наш его её ее их или чтобы что то как был была было были будет уже больше ещё еще пока нет при без за до о об под над же ли бы она он они слишком много можно нужно пожалуйста извините увы к сожалению 0".split()
+)
+#: Messages that the model is fitted on, and ordinary sentences with words of messages (fixed values).
+SEEDS = (
+    "page not found", "the requested page could not be found", "the file has been removed", "this account has been suspended", "access to this resource is denied", "your request was blocked", "request failed", "internal server error", "server is down for maintenance", "the service is unavailable", "your session has expired", "please log in to continue", "please enable javascript", "you need to allow scripts to view this site", "your browser is not supported", "cookies are disabled", "please wait while we check your browser", "verify that you are human", "too many requests", "try again later", "reload the page", "loading", "this content is restricted", "the link is broken", "invalid address", "database error", "gateway timeout", "the page has moved", "the page cannot be shown", "you have been logged out", "you are offline", "you are not allowed to do this", "you must wait", "error 0", "page deleted", "the document does not exist", "network is unreachable", "the connection was refused", "return to the home page", "lorem ipsum", "placeholder text", "sample text", "coming soon", "text goes here", "untitled", "undefined",
+    "страница не найдена", "такой страницы не существует", "файл был удалён", "доступ запрещён", "доступ к сайту ограничен", "ваш аккаунт заблокирован", "произошла ошибка", "внутренняя ошибка сервера", "сервер временно недоступен", "сервис на техническом обслуживании", "время сессии истекло", "вы не авторизованы", "вам отказано", "вы отключены от сети", "войдите, чтобы продолжить", "включите javascript", "разрешите скрипты, чтобы увидеть страницу", "ваш браузер не поддерживается", "подтвердите, что вы не робот", "слишком много запросов", "попробуйте позже", "обновите страницу", "загрузка", "материал удалён", "ссылка недействительна", "соединение прервано", "ошибка подключения к базе данных", "страница перемещена", "запрос отклонён сервером", "здесь появится текст", "скоро здесь появится описание", "пример заголовка", "заголовок",
+)
+PLAIN = (
+    "the hero needs access to the old server room", "a page of the diary is missing", "the studio moved the premiere to autumn", "she returns home and waits for a letter", "the script is weak but the dub works", "he must find the link between two cities", "the service at the hotel was lovely", "fans tried to contact the director", "the film was banned in two countries", "episode 0 was removed from the schedule", "he tries again and fails the exam", "the network announced a new season", "the robot learns to paint", "a test of courage on the roof", "the title song is sung by a choir", "the account of the war is honest", "the site of the battle is a field today", "nobody checks the lighthouse at night", "the system of magic is simple", "soon the captain comes back", "back home", "found", "contact", "a script with charm", "the link that binds them", "the human", "the last server", "text", "access denied, the movie",
+    "герой ищет страницу, которая не найдена", "студия перенесла премьеру на осень", "сайт студии назвал дату выхода", "сценарий просит терпения, а финал смазан", "робот учится рисовать", "серия 0 вышла вчера", "герой возвращается домой и ждёт письма", "доступ к архиву получил только капитан", "запись концерта вышла на диске", "ошибка режиссёра в том, что он спешит", "тест на смелость проходит на крыше", "текст песни написал поэт", "описание города заняло две главы", "скоро начнётся турнир", "сервер гильдии стоит в подвале школы", "материал снят на плёнку", "система магии проста", "злодей запрещает праздники", "новость обрадовала фанатов", "по данным за 0 год", "разработчик показал шаблон прямо в интервью", "она включает свет и видит письмо", "робот", "сеть", "тест", "последняя страница", "сайт студии закрыт", "дружба на проверку", "путь домой найден",
+)
+READER = frozenset("you your please sorry вы вам вас ваш ваша ваше вашего пожалуйста извините".split())
+_STEMS: dict[str, str] = {stem: role for role, stems in ROLES.items() for stem in stems.split()}
+_LONGEST = max(map(len, _STEMS))
+_WORD = re.compile(r"[^\W_]+(?:[’'][^\W_]+)?")
+_ROLE_NAMES = tuple(ROLES)
+#: Short stems that must be the whole word.
+_WHOLE = frozenset(s for s in _STEMS if len(s) <= 3) | {"test", "text", "link", "home", "moved", "user", "тест", "сеть", "title", "host", "back", "view", "sign", "need", "must", "page", "site", "file", "load", "soon"}
+_ENDING = re.compile(r"(?:s|ed|d|es|ing|ting)?")
+
+
+@lru_cache(200_000)
+def role(word: str) -> str:
+    """Role of a word in messages: one of ROLES, ``between``, or empty."""
+    if word in BETWEEN or word.isdigit():
+        return "between"
+    for n in range(min(len(word), _LONGEST), 1, -1):
+        if (found := _STEMS.get(word[:n])) and (n == len(word) or word[:n] not in _WHOLE or _ENDING.fullmatch(word[n:]) and n > 3):
+            return found
+    return ""
+
+
+def roles(template: str) -> list[str]:
+    return [role(w) for w in _WORD.findall(template)]
+
+
+#: Weights from which fitting starts: bias, share of words of messages, words that are none (up to 5), whether a subject, a state or action, both, a word of fillers occurs, the fixed wording, log of the parts it stands in, tens of words (up to 2), whether it speaks to a reader.
+PRIOR = (-9.0, 7.0, -3.0, 0.5, 1.0, 2.0, 3.0, 9.0, 0.2, -0.5, 1.0)
+
+
+def template_features(template: str, parts: int = 1) -> tuple[float, ...]:
+    of = roles(template)
+    other, subject, told = sum(not r for r in of), "subject" in of, "state" in of or "action" in of
+    return (1.0, (len(of) - other) / max(1, len(of)), float(min(5, other)), float(subject), float(told), float(subject and told), float("filler" in of), float(wording(template) is not None), math.log2(min(max(1, parts), 1024)), min(20, len(of)) / 10, float(not READER.isdisjoint(_WORD.findall(template))))
+
+
+@lru_cache(1)
+def weights() -> tuple[float, ...]:
+    """The model: a logistic classifier, the likeliest for SEEDS and PLAIN under a normal prior around PRIOR."""
+    x = np.array([template_features(masked(t)) for t in (*SEEDS, *PLAIN)])
+    y = np.array([1.0] * len(SEEDS) + [0.0] * len(PLAIN))
+    w = prior = np.array(PRIOR)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (p - y) + (w - prior))
+    return tuple(float(v) for v in w)
+
+
+@lru_cache(200_000)
+def wording(plain: str) -> str | None:
+    """Kind of message whose fixed wording a sentence has in full."""
+    plain = " ".join(plain.replace(WILD, "0").split())
+    if plain == "0":
+        return None
+    return next((kind for kind, shape in _JUDGE.items() if shape.fullmatch(plain)), None)
+
+
+def judge(template: str, parts: int = 1) -> str | None:
+    """Kind of message that a template is, or None. A template with wildcards is judged by the words that stayed; parts: how many it stands in."""
+    if template.strip() == "0":
+        return "error"
+    if kind := wording(template):
+        return kind
+    of = roles(template)
+    if not any(r and r != "between" for r in of) or sum(map(float.__mul__, weights(), template_features(template, parts))) < 0:
+        return None
+    if "filler" in of and of.count("filler") >= max(of.count("state"), of.count("action")):
+        return "filler"
+    return "script" if re.search(r"javascript|\bjs\b|script|скрипт|браузер|browser|загру|loading", template) else "error"
+
+
+def candidate(masked_sentence: str) -> bool:
+    """Whether a sentence may be a message, by itself or by its template."""
+    of = [role(w) for w in _WORD.findall(masked_sentence)]
+    return (sum(map(bool, of)) >= COVERED * len(of) and any(r and r != "between" for r in of)) or masked_sentence == "0" or wording(masked_sentence) is not None
 
 
 class Tree:
     """Prefix tree of fixed depth over masked sentences; its templates only ever gain wildcards."""
 
-    def __init__(self) -> None:
+    def __init__(self, depth: int = DEPTH) -> None:
         self.leaves: dict[tuple, list[list[str]]] = {}
-        self.size, self.limit = 0, MAX_TREE  # words of all templates
+        self.depth = depth
 
     def add(self, sentence: str) -> list[str]:
         """The template that the sentence belongs to, as a list that later sentences may still widen."""
         words = sentence.split(" ")
-        leaf = self.leaves.get(path := (len(words), *words[:DEPTH]))
-        if leaf is None:
-            if self.size >= self.limit:
-                self.prune()
-            leaf = self.leaves[path] = []
+        leaf = self.leaves.setdefault((len(words), *words[: self.depth]), [])
         best, most = None, SIMILAR * len(words)
         for template in leaf:
             same = sum(map(str.__eq__, template, words))
             if same >= most:
                 best, most = template, same
         if best is None:
-            if len(leaf) >= MAX_IN_LEAF:
-                old = next((i for i, t in enumerate(leaf) if judge(" ".join(t)) is None), None)
-                if old is not None:
-                    self.size -= len(leaf.pop(old))
             leaf.append(words)
-            self.size += len(words)
             return words
         if most < len(words):
-            for i in range(DEPTH, len(words)):
+            for i in range(self.depth, len(words)):
                 if best[i] != words[i]:
                     best[i] = WILD
         return best
 
-    def prune(self) -> None:
-        """Keeps only the templates that are messages."""
-        kept = {path: [t for t in leaf if judge(" ".join(t))] for path, leaf in self.leaves.items()}
-        self.leaves = {path: leaf for path, leaf in kept.items() if leaf}
-        self.size = sum(len(t) for leaf in self.leaves.values() for t in leaf)
-        self.limit = max(MAX_TREE, 2 * self.size)
+
+def classified(leaf: list[tuple[str, int]]) -> list[str | None]:
+    """Verdict for each (sentence, parts that hold it) of one leaf: that of its template, or its own. The order of the sentences doesn't matter."""
+    tree = Tree()
+    order = sorted(range(len(leaf)), key=lambda i: (-leaf[i][1], leaf[i][0]))
+    joined: dict[int, list[str]] = {i: tree.add(leaf[i][0]) for i in order} if len(leaf) <= LEAF else {i: [leaf[i][0]] for i in order}
+    parts: dict[int, int] = {}
+    for i, t in joined.items():
+        parts[id(t)] = parts.get(id(t), 0) + leaf[i][1]
+    kinds: dict[int, str | None] = {}
+    for t in joined.values():
+        if id(t) not in kinds:
+            kinds[id(t)] = judge(" ".join(t), parts[id(t)])
+    return [kinds[id(joined[i])] or judge(s, n) for i, (s, n) in enumerate(leaf)]
 
 
 def sentences(text: str) -> list[str]:
@@ -141,77 +237,102 @@ def sentences(text: str) -> list[str]:
 
 
 def mined(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sentences of parts (keys, part, text) with their template: keys, part, chars, slots, hash, template.
+    """Parts (keys, part, text) that may be residue: keys, part, row (hash of the text), total and slots (characters), said.
 
-    template stands only where a task meets it first; hash is on every row. slots: only unfilled slots. Rows of one
-    part with one template are one row.
+    said: the candidates of the part, each once: hash, chars, text. Parts of which candidates and slots make up less than
+    SHARE of the characters are left out.
     """
     fields = ", ".join(f"`{k}` {parts.schema[k].dataType.simpleString()}" for k in keys)
     n = len(keys)
+    kind = pa.list_(pa.struct([("hash", pa.int64()), ("chars", pa.int64()), ("text", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, told = Tree(), set()
-        own: dict[str, bool] = {}  # sentences seen, and whether they are messages by themselves
+        known: dict[str, bool] = {}
         for batch in batches:
-            rows: list[tuple[int, int, bool, list[str] | None]] = []
+            rows: list[tuple] = []
             for i, text in enumerate(batch.column(n + 1).to_pylist()):
+                total = slots = held = 0
+                said: dict[str, int] = {}
                 for s in sentences(text):
                     if only_slots(s):
-                        rows.append((i, len(s), True, None))
+                        slots += len(s)
+                        total += len(s)
                         continue
                     if not (m := masked(s)):
                         continue
-                    if (message := own.get(m)) is None:
-                        message = judge(m) is not None
-                        if len(own) > 100_000:
-                            own.clear()
+                    total += len(s)
+                    if (fits := known.get(m)) is None:
+                        fits = candidate(m)
+                        if len(known) > 100_000:
+                            known.clear()
                         if len(m) < 500:
-                            own[m] = message
-                    template = tree.add(m)
-                    rows.append((i, len(s), False, [m] if message else template))
-            merged: dict[tuple[int, bool, int], int] = {}
-            templates: dict[int, str | None] = {}
-            for i, chars, slots, words in rows:
-                h = 0
-                if words is not None:
-                    template = " ".join(words)
-                    h = xxhash.xxh64_intdigest(template) >> 1
-                    if h not in told:
-                        told.add(h)
-                        templates[h] = template
-                merged[i, slots, h] = merged.get((i, slots, h), 0) + chars
-            if len(told) > 500_000:
-                told.clear()
-            index = [k[0] for k in merged]
-            take = pa.array(index, pa.int64())
+                            known[m] = fits
+                    if fits:
+                        held += len(s)
+                        said[m] = said.get(m, 0) + len(s)
+                if total and slots + held >= SHARE * total:
+                    told = [{"hash": xxhash.xxh64_intdigest(m) >> 1, "chars": c, "text": m} for m, c in said.items()]
+                    rows.append((i, xxhash.xxh64_intdigest(text) >> 1, total, slots, told))
+            take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(j).take(take) for j in range(n + 1)] + [pa.array(list(merged.values()), pa.int64()), pa.array([k[1] for k in merged], pa.bool_()), pa.array([k[2] for k in merged], pa.int64()), pa.array([templates.pop(k[2], None) for k in merged], pa.string())],
-                names=[*keys, "part", "chars", "slots", "hash", "template"],
+                [batch.column(j).take(take) for j in range(n + 1)] + [pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3)] + [pa.array([r[4] for r in rows], kind)],
+                names=[*keys, "part", "row", "total", "slots", "said"],
             )
 
-    return parts.where(F.length(F.trim("text")) > 0).select(*keys, "part", "text").mapInArrow(run, f"{fields}, part string, chars bigint, slots boolean, hash bigint, template string")
+    return parts.where(F.length(F.trim("text")) > 0).select(*keys, "part", "text").mapInArrow(run, f"{fields}, part string, row bigint, total bigint, slots bigint, said array<struct<hash: bigint, chars: bigint, text: string>>")
 
 
-def verdicts(rows: DataFrame) -> DataFrame:
-    """Templates that are messages: hash, kind. Each distinct template is judged once."""
+def verdicts(told: DataFrame) -> DataFrame:
+    """Candidates (hash, text; a row for every part) that are messages: hash, kind. Each distinct sentence and template is classified once."""
+    counted = cut(told.groupBy("hash", "text").agg(F.count("*").alias("parts")))
+    words = F.split("text", " ")
+    path = lambda depth: F.concat_ws(" ", F.size(words).cast("string"), F.slice(words, 1, depth))
+    short = counted.where(F.size(words) <= LONG).withColumn("leaf", path(DEPTH))
+    large = broadcast_if_small(short.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("leaf"))
+    split = short.join(large, "leaf", "left_semi").withColumn("leaf", path(DEEP)).unionByName(short.join(large, "leaf", "left_anti"))
+    alone = counted.where(F.size(words) > LONG).withColumn("leaf", F.lit(None).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds = pa.array([judge(t) for t in batch.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), kinds], names=["hash", "kind"]).filter(kinds.is_valid())
+        held: list[tuple[int, str, int]] = []  # rows of one leaf, which stand together
+
+        def told_of(rows: list[tuple[int, str, int]]) -> list[tuple[int, str]]:
+            return [(h, k) for (h, _, _), k in zip(rows, classified([(t, n) for _, t, n in rows]), strict=True) if k]
 
-    return rows.where("template IS NOT NULL").select("hash", "template").distinct().mapInArrow(run, "hash bigint, kind string")
+        def out(found: list[tuple[int, str]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.int64()), pa.array([k for _, k in found], pa.string())], names=["hash", "kind"])
+
+        now = None
+        for batch in batches:
+            found: list[tuple[int, str]] = []
+            for leaf, h, t, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if leaf is None:
+                    if k := judge(t, n):
+                        found.append((h, k))
+                    continue
+                if leaf != now or len(held) > LEAF:  # what is larger than a leaf is left as it is, in the order of its rows
+                    found += told_of(held)
+                    held, now = [], leaf
+                held.append((h, t, n))
+            yield out(found)
+        yield out(told_of(held))
+
+    order = ["leaf", F.desc("parts"), "text"]
+    return split.unionByName(alone).select("leaf", "hash", "text", "parts").repartition("leaf", F.when(F.col("leaf").isNull(), F.col("hash"))).sortWithinPartitions(*order).mapInArrow(run, "hash bigint, kind string")
 
 
 def residue_parts(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Parts that are residue: keys, part, share, kind (of most of it; ``placeholder`` for slots)."""
     rows = cut(mined(parts, keys))
-    found = cut(verdicts(rows))
+    of = [*keys, "part", "row"]
+    said = rows.select(*of, "total", "slots", F.explode_outer("said").alias("x")).select(*of, "total", "slots", F.col("x.hash").alias("hash"), F.col("x.chars").alias("chars"), F.col("x.text").alias("text"))
+    found = cut(verdicts(said.where("hash IS NOT NULL").select("hash", "text")))
     # one message may stand in a third of all records
-    judged = join_hot(rows, found, "hash", rows=found.count()).withColumn("kind", F.when(F.col("slots"), F.lit("placeholder")).otherwise(F.col("kind")))
-    per_kind = judged.groupBy(*keys, "part", "kind").agg(F.sum("chars").alias("chars"))
-    residue = F.sum(F.when(F.col("kind").isNotNull(), F.col("chars")).otherwise(0))
-    return per_kind.groupBy(*keys, "part").agg((residue / F.sum("chars")).alias("share"), F.max_by("kind", F.when(F.col("kind").isNotNull(), F.col("chars"))).alias("kind")).where(F.col("share") >= SHARE)
+    judged = join_hot(said.drop("text"), found, "hash", rows=found.count())
+    per_kind = judged.groupBy(*of, "kind").agg(F.sum(F.when(F.col("kind").isNotNull(), F.col("chars")).otherwise(0)).alias("chars"), F.max("total").alias("total"), F.max("slots").alias("slots"))
+    best = F.struct("chars", "kind")
+    whole = per_kind.groupBy(*of).agg(F.sum("chars").alias("chars"), F.max("total").alias("total"), F.max("slots").alias("slots"), F.max(best).alias("most"))
+    share = (F.col("chars") + F.col("slots")) / F.col("total")
+    return whole.select(*keys, "part", share.alias("share"), F.when(F.col("slots") >= F.col("most.chars"), F.lit("placeholder")).otherwise(F.col("most.kind")).alias("kind")).where(F.col("share") >= SHARE)
 
 
 def slots(df: DataFrame, keys: list[str], text: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from driftmill.llm import catalogue, markup, pages, pii, residue
 from driftmill.llm.markup import Block, clean, elements, min_cut
@@ -127,16 +128,53 @@ def test_tree_merges_what_differs_in_few_words():
     assert t.add("error while") == ["error", "while"] and t.add("quite another sentence of eight words here now") is not last
 
 
-def test_full_leaves_keep_messages():
+def test_no_leaf_drops_a_template():
     t = residue.Tree()
     message = t.add("упс, что-то пошло совсем не так у нас сегодня")
-    for i in range(3 * residue.MAX_IN_LEAF):
+    for i in range(300):
         t.add(f"упс, что-то пошло {' '.join(f'w{i}x{j}' for j in range(6))}")
-        t.add(f"герой снова идёт {' '.join(f'w{i}x{j}' for j in range(6))}")
     assert t.add("упс, что-то пошло совсем не так у нас вчера") is message
-    assert len(t.leaves[9, "герой", "снова", "идёт"]) == residue.MAX_IN_LEAF
-    t.prune()
-    assert t.leaves.keys() == {(9, "упс,", "что-то", "пошло")} and t.size == 9 * len(t.leaves[9, "упс,", "что-то", "пошло"])
+    assert len(t.leaves[9, "упс,", "что-то", "пошло"]) == 301
+
+
+UNSEEN = ["Connection timed out", "Страница удалена", "Enable cookies and JavaScript to view this page", "You have been rate limited", "This link has expired", "Ваша сессия истекла", "Сервер перегружен, повторите запрос позже", "The database connection failed", "Сайт закрыт на обслуживание", "Scripts are required by this application", "Requested file does not exist", "Ссылка устарела или удалена", "Доступ к странице запрещён администратором", "Sorry, this video is unavailable"]
+ORDINARY = ["Сайт студии назвал дату выхода второго сезона.", "The service at the old hotel is a character of its own.", "Робот", "Сеть", "Back to the capital", "Герой закрыл доступ к архиву и вернулся домой.", "Lost and found in the old harbor", "Сериал закрыт", "A script that needs patience"]
+
+
+@pytest.mark.parametrize("text", UNSEEN)
+def test_messages_that_stand_in_no_list(text):
+    assert residue.masked(text) not in {residue.masked(s) for s in residue.SEEDS} and not residue.wording(residue.masked(text))
+    assert residue.judge(residue.masked(text)) and residue.candidate(residue.masked(text))
+
+
+@pytest.mark.parametrize("text", ORDINARY)
+def test_ordinary_sentences_with_words_of_messages(text):
+    assert not any(residue.judge(residue.masked(s)) for s in residue.sentences(text))
+
+
+def test_template_decides_where_a_sentence_alone_does_not(spark, rows):
+    """Words that change from record to record become wildcards, and what stays is a message."""
+    odd = [f"could not load resource {w} please try again" for w in ("glimmer", "harborlight", "quietus", "velvet")]
+    odd = [s.replace("load", "render") for s in odd]
+    assert not residue.judge(odd[0]) and residue.classified([(s, 1) for s in odd]) == ["error"] * 4 == residue.classified([(s, 1) for s in reversed(odd)])
+    schema = "source_table string, record_key string, part string, text string"
+    assert rows(residue.records(spark.createDataFrame([("t", str(i), "body", s) for i, s in enumerate(odd)], schema))) == {("t", str(i)) for i in range(4)}
+    assert rows(residue.records(spark.createDataFrame([("t", "0", "body", odd[0])], schema))) == set()
+
+
+@pytest.mark.parametrize("leaf", [3, residue.LEAF])
+def test_partitions_and_order_of_rows_change_nothing(spark, rows, monkeypatch, leaf):
+    monkeypatch.setattr(residue, "LEAF", leaf)
+    rng = random.Random(8)
+    texts = [rng.choice(["could not render resource {} please try again", "страница {} была удалена или перенесена", "Lorem ipsum dolor {} amet", "герой {} закрыл доступ к архиву", "the {} server of the old guild"]).format(rng.choice(["аист", "glimmer", "sit", "мост", "42", "page"])) for _ in range(120)]
+    parts = spark.createDataFrame([("t", str(i), "body", x) for i, x in enumerate(texts)], "source_table string, record_key string, part string, text string")
+    got = [rows(residue.records(parts.repartition(n, F.rand(n)))) for n in (1, 4, 64)]
+    assert got[0] == got[1] == got[2] and 0 < len(got[0]) < 120
+
+
+def test_rows_of_one_key_are_judged_each_by_itself(spark, rows):
+    parts = spark.createDataFrame([("t", "u", "body", "Страница не найдена"), ("t", "u", "body", "Длинный абзац о сериале, который стоит прочитать целиком. " * 20)], "source_table string, record_key string, part string, text string")
+    assert rows(residue.records(parts)) == {("t", "u")}
 
 
 def test_residue_of_any_length_and_beside_its_likes(spark, rows):
