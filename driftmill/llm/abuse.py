@@ -1,16 +1,19 @@
 """Scores for abusive, hateful and sexual language, from confirmed examples and unlabelled text.
 
 Texts are judged sentence by sentence, after undoing disguises (look-alike letters, digits for letters, stretched or
-spaced-out words, stars, capitals). One linear classifier for each category is trained in numpy by non-negative
+spaced-out words, stars, capitals). A linear classifier for each category is trained in numpy by non-negative
 positive-unlabelled learning: the risk of unlabelled text is corrected by the class prior, and where the correction
-would make the negative risk fall below zero, its gradient is turned round, so confirmed examples aren't memorised.
+would make the negative risk fall below zero, it is held there, so confirmed examples aren't memorised.
 Of a confirmed text only its most typical sentence counts as confirmed, found anew with each round of training.
 
-Texts are read once, into the feature numbers of those sentences that have any; equal sentences of a partition are one
-weighted row. Every task then trains on the confirmed examples and on all unlabelled sentences of its own partition, and
-the weights of all tasks are averaged by the number of their sentences: all rows take part, and no text is shuffled.
-Features are wording groups, how a group is used (of a reader, within quotes, inside a retelling), and words and word
-pairs of the labelled texts, so wording that stands in no label is judged by its groups alone.
+Features are learned from the labels: words, word pairs and hashed character n-grams that confirmed texts hold far more
+often than those labelled none, so forms and neighbours of their wording count too; beside them stand groups of general
+vocabulary, and how wording is used (of a reader, within quotes, inside a retelling).
+
+Texts are read once, into the feature numbers of those sentences that have any. Equal sentences are counted over all
+partitions, and one model is trained on the confirmed examples and on all unlabelled sentences, each by its count. Up to
+LOCAL distinct rows that happens on the driver; beyond it the rows stay where they are, and each step is one pass that
+brings back sums of gradients, with the same result. The model doesn't depend on how the tables are partitioned.
 
 Defined results: null and empty texts score 0; a text's score is that of its worst sentence; a label that is null or
 unknown is ignored; comments without an id or text are left out; with no confirmed example of a category its score is 0.
@@ -22,10 +25,12 @@ import json
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +40,17 @@ from driftmill.session import cut, spread
 CATEGORIES = ("abusive", "hateful", "sexual")
 #: The categories, and all of them as one, for wording that lies between them.
 SCORES = (*CATEGORIES, "any")
-#: Share of all sentences that is taken to be of a category; labelled rows read at most; times a word or pair must stand in labelled texts to be a feature.
-PRIOR = {"abusive": 0.01, "hateful": 0.004, "sexual": 0.004, "any": 0.015}
+#: Share of all sentences that is taken to be of a category; labelled rows read at most; confirmed texts that a learned feature must stand in.
+PRIOR = {"abusive": 0.01, "hateful": 0.004, "sexual": 0.004, "any": 0.012}
 #: Words of fewer letters are features only beside a longer one.
 LEAST_LETTERS = 4
 MAX_LABELS, MIN_TIMES = 200_000, 3
+#: How much more often a learned feature must stand in confirmed texts than in those labelled none; letters of n-grams, and buckets that they are hashed into.
+INDICATES, GRAMS, BUCKETS = 4.0, (4, 5, 6), 1 << 18
 MISLABELLED = 1
-ROUNDS, STEPS, RATE, L2, L2_WORDS = 3, 250, 0.3, 2e-4, 1e-2
+ROUNDS, STEPS, RATE, L2, L2_WORDS = 3, 120, 0.3, 2e-4, 1e-2
+#: Distinct feature rows up to which the model is trained on the driver.
+LOCAL = 400_000
 THRESHOLD = 0.5
 
 # --- undoing disguises
@@ -127,27 +136,28 @@ def sentences(text: str) -> list[str]:
     return out
 
 
-# --- wording groups: beginnings of words, runs of a letter as one letter (fixed values)
+# --- groups of general vocabulary: beginnings of words, runs of a letter as one letter (fixed values)
 
 GROUPS: dict[str, str] = {
-    "insult": "дебил кретин идиот придур мраз отреб дегенерат ничтожеств тупиц туп дурак дура дурой болван урод ублюд скот сволоч гад мудак козел баран быдл бездар недоум слабоум имбецил позорищ лох чмо падл moron idiot imbecile scum loser vermin degenerat dimwit worthles fol stupid dumb trash retard jerk bastard moronic clown clownish клоун",
-    "demean": "мозг тыкв гнил мусорн ведр лечис санитар справк роняли клавиатур поумнича вылез заткн рот удали уволь забань природу отдыхать отправили доверять кухн отзыв brain roten pumpkin bin crawl crawled shut quit keyboard lecture delete ashamed therapy nature droped kitchen miswired plug",
-    "threat": "сдохн сдох закоп перелома оторва убью убить прибью зубы зубами вешать вздерн сожг пристрел умри утопи узнаю die dead drown kil kiled teth finger пальцы hang hanging bury smash grave breathe",
-    "hate": "грязь грязн вон воровств выселя гнать выгна люди народ болезн загон место выкину диагноз запрет недочеловек зараз паразит чума ненавиж filth stink theft human defect ban kitchen thrown disease cage pen infest subhuman hate plague parasite belong deport",
-    "people": "вардийц вардиек торван степняк степняч островитян переселен пришл приезж келя женщин баб девк мужик евре цыган негр мусульман христиан гей геи лесби vardian torvan steppe stepe islander setler kel women woman girl men imigrant migrant foreigner jew muslim gay lesbian",
+    "insult": "дебил кретин идиот придур мраз отреб дегенерат ничтожеств тупиц туп дурак дура дурой болван урод ублюд скот сволоч гад мудак козел баран осел свинь крыс гнид твар подон мерзав мерзост паскуд сук бля хуй хуе пизд еба жоп говн дерьм шлюх быдл бездар недоум слабоум имбецил позорищ лох чмо падл клоун moron idiot imbecile scum loser vermin degenerat dimwit worthles fol stupid dumb trash garbage retard jerk bastard moronic clown clownish pig swine rat pathetic disgust freak creep jackas ashol bitch cunt prick whore slut shit crap coward halfwit",
+    "demean": "мозг тыкв гнил мусорн ведр лечис санитар справк роняли клавиатур поумнича вылез заткн рот удали уволь забань природу отдыхать отправили доверять кухн отзыв brain roten pumpkin bin crawl crawled shut quit keyboard lecture delete ashamed therapy nature droped kitchen miswired plug waste oxygen useles embaras",
+    "threat": "сдохн сдох провал закоп перелома оторва убью убить прибью зубы зубами вешать вздерн сожг пристрел расстрел умри утопи узнаю die dead drown kil kiled teth finger пальцы hang hanging bury smash grave breathe shot shoting burn choke beat",
+    "hate": "грязь грязн вон воровств выселя гнать выгна люди народ болезн загон место выкину диагноз запрет недочеловек зараз паразит чума ненавиж filth stink theft human defect ban kitchen thrown disease cage pen infest subhuman hate plague parasite belong deport exterminat sight",
+    "people": "пришл приезж понаех беженц мигрант женщин баб девк мужик евре цыган негр араб азиат кавказ мусульман христиан гей геи лесби women woman girl men imigrant migrant refuge foreigner jew muslim arab asian black gay lesbian",
     "sexual": "xxx порн секс трах голый голые голую голых голышом раздет раздень обнажен интим эротич грудь груди сиськ труса трусов трусик стяну постел возбужд минет оргазм кончит девушку горяч приват porn sex nude naked fuck strip cams bedrom hokup horny hot singles cloth chest breast boob adult orgasm blowjob escort erotic uncut underwear pants",
     "offer": "личк профил канал заход кидай скину пиши лайк обязательств ночь клик ссылк profile click link bio free send tonight string meet like dm",
     "you": "будешь живешь сдохнешь ты тебя тебе тобой твой твоя твое твои твоей твоего твоих твоим твоему вы вас вам вами ваш ваша ваше ваши вашу you your yours yourself u ur youre",
     "those": "таких такие таким который этот этого этому author translator whoever автор переводчик админ фанат фанаты каждый очередной another everyone fans",
     "all": "все всех всем всю их им они all every them they always",
+    "ought": "надо нужно нельзя пора давно чтоб пусть should must deserve oughta ought",
     "plot": "герой герои героя героем злоде персонаж сюжет сценари капитан принц механик аптекар призрак тренер наставник младш брат сез серии финал школ дубляж легенд роль hero vilain character plot script story captain prince mechanic apothecary ghost coach mentor younger brother season episode finale school dub scene legend",
     "report": "называет называют назвал кричит крикнул реплик прозвищ словом слово фраз модератор обзыва смягчил прощен удалил вежлив зал cals caled shouts nickname line moderator removed softened politer forgivenes says caling cal",
-    "plea": "надо давайте пожалуйста прошу обсужда please dont discus lets",
+    "plea": "давайте пожалуйста прошу обсужда please dont discus lets",
     "tact": "воспитан тактич пошлост правда смешн хохот жесток образован education tact truth funy laughing kiler dul",
 }
 #: Groups that say how a wording group is used.
-_SUBJECTS, _USES = ("insult", "demean", "threat", "hate", "sexual", "people", "offer"), ("you", "those", "all", "plot", "report", "plea", "tact", "people")
-_EXACT = frozenset("ты тебя тебе тобой вы вас вам вами u ur все их им они all them they xxx cams келя kel люди народ место рот удали уволь забань отзыв природу hot die dead пальцы pen men bin like dm сез зал fol kil cal вон ban лох чмо гад line ghost people human drop".split())
+_SUBJECTS, _USES = ("insult", "demean", "threat", "hate", "sexual", "people", "offer"), ("you", "those", "all", "ought", "plot", "report", "plea", "tact", "people")
+_EXACT = frozenset("ты тебя тебе тобой вы вас вам вами u ur все их им они all them they xxx cams люди народ место рот удали уволь забань отзыв природу hot die dead пальцы pen men bin like dm сез зал fol kil cal вон ban лох чмо гад line ghost people human drop shit shity crap rot pen сук бля жоп еба пора пусть надо must should ought rat rats pig pigs beat burn black осел sight shot waste".split())
 
 
 def _lookup() -> tuple[dict[str, set[str]], dict[str, set[str]]]:
@@ -177,11 +187,20 @@ def groups_of(w: str, known: dict[str, tuple[str, ...]]) -> tuple[str, ...]:
     return found
 
 
+#: Groups by which the confirmed sentence of a text is told at first.
+_TELLING = frozenset(("insult", "demean", "threat", "hate", "sexual"))
 _SUBJECT_SET, _RETOLD, _HARD = frozenset(_SUBJECTS), frozenset({"plot", "report", "plea", "tact"}), frozenset({"hate", "demean", "threat"})
 
 
-def features(sentence: str, reader: Reader, vocabulary: dict[str, int] | None = None) -> set[str]:
-    """Names of the features that a sentence has: wording groups and their uses, then words and pairs of the vocabulary (all, if None)."""
+@lru_cache(200_000)
+def grams(w: str) -> tuple[str, ...]:
+    """Hashed character n-grams of a word with its ends marked."""
+    marked = f"^{w}$"
+    return tuple({f"#{xxhash.xxh32_intdigest(marked[i : i + n]) % BUCKETS}" for n in GRAMS for i in range(len(marked) - n + 1)})
+
+
+def features(sentence: str, reader: Reader, learned: Callable[[list[str]], set[str]] | None = None) -> set[str]:
+    """Names of the features that a sentence has: groups and their uses, and what is learned of its words outside quotes (all words, pairs and n-grams, if None)."""
     quoted = 0
     seen: set[str] = set()
     twice: set[str] = set()
@@ -197,40 +216,39 @@ def features(sentence: str, reader: Reader, vocabulary: dict[str, int] | None =
             elif t == '"':
                 quoted = 0 if quoted else 1
             continue
-        if groups := groups_of(t, known):
-            for g in groups:
-                if quoted:  # said, not meant, unless it also stands outside
-                    if g in _SUBJECT_SET:
-                        out.add(f"{g} in quotes")
-                    continue
-                if g in seen:
-                    twice.add(g)
-                seen.add(g)
-        words.append(t)
+        for g in groups_of(t, known):
+            if quoted:  # said, not meant, unless it also stands outside
+                if g in _SUBJECT_SET:
+                    out.add(f"{g} in quotes")
+                continue
+            if g in seen:
+                twice.add(g)
+            seen.add(g)
+        if not quoted:
+            words.append(t)
+    told = {x for w in words for x in grams(w)} | set(words) | {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)} if learned is None else learned(words)
     subjects = seen & _SUBJECT_SET
+    retold = bool(seen & _RETOLD)
     if subjects or out:
+        inside = bool(out)
         out |= seen - subjects
         out |= {f"{a} twice" for a in twice & subjects}
         for a in subjects:
             out |= {f"{a} with {b}" for b in _USES if b in seen and b != a}
-            if not seen & _RETOLD:
+            if not retold:
                 out.add(f"{a} unreported")
-                if "in quotes" not in "".join(out):
+                if not inside:
                     out.add(f"{a} plain")
             if seen & _HARD - {a}:
                 out.add(f"{a} with another")
-    elif vocabulary is None:
-        return out
-    pairs = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
-    out |= {x for x in (*words, *pairs) if vocabulary is None or x in vocabulary}
-    return out
+    return out | told
 
 
 # --- learning
 
 
 class Rows:
-    """Sparse rows of feature numbers, each with a weight."""
+    """Sparse rows of feature numbers, each with a weight; the weights add up to 1."""
 
     def __init__(self, rows: list[tuple[int, ...]], weights: list[float] | None = None):
         self.n = len(rows)
@@ -246,99 +264,183 @@ class Rows:
     def back(self, g: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(self.index, (g * self.weight)[self.row], size)
 
-
-def train_nnpu(positive: Rows, unlabelled: Rows, size: int, prior: float, l2: np.ndarray, start: np.ndarray | None = None, steps: int = STEPS, rate: float = RATE) -> np.ndarray:
-    """Weights of a linear classifier by non-negative positive-unlabelled learning with the logistic loss, fitted with Adam.
-
-    Risk: prior * R(positive as +) + max(0, R(unlabelled as -) - prior * R(positive as -)).
+    def negative(self, w: np.ndarray, active: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Risk of the rows as negatives, and its gradient, for each row of a matrix of weights."""
+        risk, slope = np.zeros(len(w)), np.zeros(w.shape)
+        for k in range(len(w)) if active is None else active:
+            f = self.dot(w[k])
+            risk[k] = (self.weight * np.logaddexp(0, f)).sum()
+            slope[k] = self.back(1 / (1 + np.exp(-f)), w.shape[1])
+        return risk, slope
+
+
+class SpreadRows:
+    """Counted rows of a frame (found, n) and further rows at hand, of which a pass over the frame gives risk and gradient."""
+
+    def __init__(self, counted: DataFrame, total: int, beside: Counter[tuple[int, ...]], size: int):
+        self.counted, self.size = counted, size
+        self.total = total + sum(beside.values())
+        self.beside = Rows(list(beside), list(beside.values())) if beside else None
+        self.share = sum(beside.values()) / max(1, self.total)
+        self.n = self.total
+
+    def negative(self, w: np.ndarray, active: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        shared, total = self.counted.sparkSession.sparkContext.broadcast(w), float(self.total)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            w = shared.value
+            risk, slope = np.zeros(len(w)), np.zeros(w.shape)
+            for batch in batches:
+                rows, n = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), float)
+                if len(n):
+                    part = Rows(rows, n.tolist())
+                    r, g = part.negative(w, active)
+                    risk += r * n.sum() / total
+                    slope += g * n.sum() / total
+            at = np.flatnonzero(slope.any(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([risk.tolist(), *slope[:, at].T.tolist()], pa.list_(pa.float64()))], names=["feature", "g"])
+
+        sums = [F.sum(F.col("g")[k]).alias(f"g{k}") for k in range(len(w))]
+        risk, slope = np.zeros(len(w)), np.zeros(w.shape)
+        for r in self.counted.select("found", "n").mapInArrow(run, "feature int, g array<double>").groupBy("feature").agg(*sums).collect():  # one row a feature
+            if r[0] < 0:
+                risk += np.array(r[1:])
+            else:
+                slope[:, r[0]] += np.array(r[1:])
+        shared.unpersist()
+        if self.beside is not None:
+            r, g = self.beside.negative(w, active)
+            risk, slope = risk + self.share * r, slope + self.share * g
+        return risk, slope
+
+
+def train_all(positive: list[Rows | None], unlabelled: Rows | SpreadRows, size: int, prior: list[float], l2: np.ndarray, start: np.ndarray | None = None, steps: int = STEPS, rate: float = RATE) -> np.ndarray:
+    """Weights of a linear classifier for each list of positives, by non-negative positive-unlabelled learning with the logistic loss, fitted with Adam.
+
+    Risk: prior * R(positive as +) + max(0, R(unlabelled as -) - prior * R(positive as -)). One pass over the unlabelled
+    rows serves a step of all classifiers.
     """
-    w = np.zeros(size) if start is None else start.copy()
-    m, v = np.zeros(size), np.zeros(size)
+    w = np.zeros((len(positive), size)) if start is None else start.copy()
+    m, v = np.zeros(w.shape), np.zeros(w.shape)
+    active = [k for k, p in enumerate(positive) if p is not None]
     for t in range(1, steps + 1):
-        fp, fu = positive.dot(w), unlabelled.dot(w)
-        sp, su = 1 / (1 + np.exp(-fp)), 1 / (1 + np.exp(-fu))  # d/df log(1 + e^f)
-        negative = (unlabelled.weight * np.logaddexp(0, fu)).sum() - prior * (positive.weight * np.logaddexp(0, fp)).sum()
-        down = unlabelled.back(su, size) - prior * positive.back(sp, size)
-        up = prior * positive.back(sp - 1, size)
-        g = (up + down if negative >= 0 else -down) / prior + l2 * w
-        m = 0.9 * m + 0.1 * g
-        v = 0.999 * v + 0.001 * g * g
-        w -= rate / (1 + t / 50) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        risk, slope = unlabelled.negative(w, active)
+        for k in active:
+            p, pi = positive[k], prior[k]
+            fp = p.dot(w[k])
+            sp = 1 / (1 + np.exp(-fp))  # d/df log(1 + e^f)
+            negative = risk[k] - pi * (p.weight * np.logaddexp(0, fp)).sum()
+            down = slope[k] - pi * p.back(sp, size)
+            up = pi * p.back(sp - 1, size)
+            g = (up + down if negative >= 0 else up) / pi + l2 * w[k]
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.999 * v[k] + 0.001 * g * g
+            w[k] -= rate / (1 + t / 50) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
     return w
 
 
+def train_nnpu(positive: Rows, unlabelled: Rows, size: int, prior: float, l2: np.ndarray, start: np.ndarray | None = None, steps: int = STEPS, rate: float = RATE) -> np.ndarray:
+    """Weights of one classifier, as train_all() gives them."""
+    return train_all([positive], unlabelled, size, [prior], l2, None if start is None else start[None], steps, rate)[0]
+
+
 class Space:
     """Features, and the labelled sentences in them. Feature 0 is the bias, which every sentence has."""
 
     def __init__(self, labels: list[tuple[str, str]]):
         reader = Reader()
         bags: dict[str, list[list[set[str]]]] = {c: [] for c in (*CATEGORIES, "none")}
-        times: Counter[str] = Counter()
+        times: dict[bool, Counter[str]] = {True: Counter(), False: Counter()}
         for text, label in labels:
             if label in bags and (found := sentences(text)):
-                bags[label].append([features(s, reader) for s in found])
-                times.update(set().union(*bags[label][-1]))
+                bags[label].append(read := [features(s, reader) for s in found])
+                # of a confirmed text, its sentences with the most wording groups
+                most = max(len(fs & _TELLING) for fs in read) if label != "none" else 0
+                times[label != "none"].update(set().union(*(fs for fs in read if len(fs & _TELLING) >= most)))
         names = ["bias", *sorted(GROUPS), *(f"{a} with {b}" for a in _SUBJECTS for b in (*_USES, "another") if a != b), *(f"{a} {x}" for a in _SUBJECTS for x in ("in quotes", "unreported", "plain", "twice"))]
         self.groups = len(names)
         given = set(names)
-        self.vocabulary = {f: i for i, f in enumerate([*names, *sorted(f for f, n in times.items() if n >= MIN_TIMES and f not in given and max(map(len, f.split())) >= LEAST_LETTERS)])}
+        bad, good = (max(1, sum(len(bags[c]) for c in of)) for of in (CATEGORIES, ("none",)))
+        tells = lambda f, n: n >= MIN_TIMES and n / bad >= INDICATES * (times[False][f] + 0.5) / good
+        self.learned = frozenset(f for f, n in times[True].items() if f not in given and tells(f, n) and (f[0] == "#" or max(map(len, f.split())) >= LEAST_LETTERS))
+        self.vocabulary = {f: i for i, f in enumerate([*names, *sorted(self.learned)])}
         self.size = len(self.vocabulary)
-        row = lambda fs: tuple(sorted({0, *(self.vocabulary[f] for f in fs if f in self.vocabulary)}))
-        self.bags = {c: [[row(fs) for fs in bag] for bag in bags[c]] for c in CATEGORIES}
+        self._forms: dict[str, tuple[str, ...]] = {}
+        own = lambda s: features(s, reader, self.told)
+        row = lambda fs: tuple(sorted({0, *(self.vocabulary[f] for f in fs)}))
+        read = {c: [[row(own(s)) for s in sentences(t)] for t, label in labels if label == c and sentences(t)] for c in bags}
+        self.bags = {c: read[c] for c in CATEGORIES}
         self.bags["any"] = [bag for c in CATEGORIES for bag in self.bags[c]]
-        self.none = Counter(row(fs) for bag in bags["none"] for fs in bag)
-        self.subjects = frozenset(self.vocabulary[g] for g in _SUBJECTS) | frozenset(self.vocabulary[f"{g} plain"] for g in _SUBJECTS)
+        self.none = Counter(r for bag in read["none"] for r in bag)
+        self.subjects = frozenset(self.vocabulary[g] for g in _TELLING) | frozenset(self.vocabulary[f"{g} plain"] for g in _TELLING)
+
+    def told(self, words: list[str]) -> set[str]:
+        """Learned features of a sentence's words."""
+        out: set[str] = set()
+        for w in words:
+            if (of := self._forms.get(w)) is None:
+                if len(self._forms) > 300_000:
+                    self._forms.clear()
+                of = self._forms[w] = tuple(x for x in (w, *grams(w)) if x in self.learned)
+            out.update(of)
+        out.update(x for a, b in zip(words, words[1:], strict=False) if (x := f"{a} {b}") in self.learned)
+        return out
 
     def rows(self, text: str, reader: Reader) -> tuple[int, list[tuple[int, ...]]]:
         """Number of a text's sentences, and the features of those that have more than the bias."""
         v = self.vocabulary
         found = sentences(text)
-        rows = (tuple(sorted({0, *(v[f] for f in features(s, reader, v) if f in v)})) for s in found)
+        rows = (tuple(sorted({0, *(v[f] for f in features(s, reader, self.told))})) for s in found)
         return len(found), [r for r in rows if len(r) > 1]
 
-    def fit(self, rows: Counter[tuple[int, ...]], prior: dict[str, float] = PRIOR) -> dict[str, np.ndarray]:
+    def fit(self, rows: Counter[tuple[int, ...]] | SpreadRows, prior: dict[str, float] = PRIOR) -> dict[str, np.ndarray]:
         """Weights of each category from the confirmed texts and unlabelled rows with their counts; texts labelled none join these."""
         l2 = np.where(np.arange(self.size) < self.groups, L2, L2_WORDS)
         l2[0] = 0.0
-        all_rows = rows + self.none
-        u = Rows(list(all_rows), list(all_rows.values()))
+        if isinstance(rows, SpreadRows):
+            u = rows
+        else:
+            all_rows = rows + self.none
+            order = sorted(all_rows)  # sums don't depend on the order in which rows came
+            u = Rows(order, [all_rows[r] for r in order])
         none: Counter[tuple[int, ...]] = Counter()
+        use = lambda r: tuple(i for i in r if 0 < i < self.groups)
         for r, n in self.none.items():
-            none[tuple(i for i in r if 0 < i < self.groups)] += n
-        weights = {}
+            none[use(r)] += n
+        bags, picked = [], []
         for c in SCORES:
-            bags = self.bags[c]
-            if not bags or not u.n:
-                weights[c] = np.where(np.arange(self.size) == 0, -20.0, 0.0)
-                continue
             # to begin with, the sentence with the most wording groups is the confirmed one
-            picked = [max(b, key=lambda r: (sum(i in self.subjects for i in r), sum(i < self.groups for i in r))) for b in bags]
+            first = [max(b, key=lambda r: (sum(i in self.subjects for i in r), sum(i < self.groups for i in r), len(r))) for b in self.bags[c]]
             # a wrong label: wording groups that stand at least MISLABELLED times as often in texts labelled none
-            use = lambda r: tuple(i for i in r if 0 < i < self.groups)
-            confirmed = Counter(map(use, picked))
-            bags = [b for b, r in zip(bags, picked, strict=True) if not use(r) or none[use(r)] < MISLABELLED * confirmed[use(r)]] or bags
-            picked = [r for r in picked if not use(r) or none[use(r)] < MISLABELLED * confirmed[use(r)]] or picked
-            w = None
+            confirmed = Counter(map(use, first))
+            right = [not use(r) or none[use(r)] < MISLABELLED * confirmed[use(r)] for r in first]
+            if not any(right):
+                right = [True] * len(right)
+            bags.append([b for b, ok in zip(self.bags[c], right, strict=True) if ok])
+            picked.append([r for r, ok in zip(first, right, strict=True) if ok])
+        w = None
+        if u.n:
             for _ in range(ROUNDS):
-                w = train_nnpu(Rows(picked), u, self.size, prior[c], l2, w)
-                picked = [max(b, key=lambda r: w[list(r)].sum()) for b in bags]
-            weights[c] = w
-        return weights
+                w = train_all([Rows(p) if p else None for p in picked], u, self.size, [prior[c] for c in SCORES], l2, w)
+                picked = [[max(b, key=lambda r: w[k][list(r)].sum()) for b in bags[k]] for k in range(len(SCORES))]
+        never = np.where(np.arange(self.size) == 0, -20.0, 0.0)
+        return {c: w[k] if w is not None and bags[k] else never for k, c in enumerate(SCORES)}
 
 
 def read_labels(labels: DataFrame, text: str = "text", label: str = "abuse_label") -> list[tuple[str, str]]:
-    """Labelled rows, at most MAX_LABELS."""
-    return [(r[0], r[1]) for r in labels.where((F.length(text) > 0) & F.col(label).isNotNull()).select(text, label).limit(MAX_LABELS).collect()]
+    """Labelled rows in a fixed order, at most MAX_LABELS, the first by their hash."""
+    rows = labels.where((F.length(text) > 0) & F.col(label).isNotNull()).select(text, label)
+    return [(r[0], r[1]) for r in rows.orderBy(F.xxhash64(text, label), text, label).limit(MAX_LABELS).collect()]
 
 
-def featured(rows: DataFrame, labels: list[tuple[str, str]], text: str = "text") -> DataFrame:
+def featured(rows: DataFrame, space: Space, text: str = "text") -> DataFrame:
     """Texts as feature rows: the other columns, n (sentences), found (features of each sentence that has any)."""
     keep = [c for c in rows.columns if c != text]
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    shared = rows.sparkSession.sparkContext.broadcast(labels)  # at most MAX_LABELS rows
+    shared = rows.sparkSession.sparkContext.broadcast(space)  # of at most MAX_LABELS labelled texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, reader = Space(shared.value), Reader()
+        own, reader = shared.value, Reader()
         for batch in batches:
             out = [own.rows(t, reader) if t else (0, []) for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [pa.array([n for n, _ in out], pa.int32()), pa.array([r for _, r in out], pa.list_(pa.list_(pa.int32())))], names=[*keep, "n", "found"])
@@ -346,31 +448,15 @@ def featured(rows: DataFrame, labels: list[tuple[str, str]], text: str = "text")
     return rows.select(*keep, text).mapInArrow(run, f"{fields}, n int, found array<array<int>>")
 
 
-def learn(rows: DataFrame, labels: list[tuple[str, str]], prior: dict[str, float] = PRIOR) -> np.ndarray:
-    """Weights (category, feature) from all rows of featured(): the average of every task's, weighted by sentences."""
-    space = Space(labels)
-    shared = rows.sparkSession.sparkContext.broadcast(labels)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts, total = Space(shared.value), Counter(), 0
-        for batch in batches:
-            for n, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total += n
-                counts.update(map(tuple, found))
-        if not total:
-            return
-        if rest := total - sum(counts.values()):
-            counts[(0,)] += rest
-        for k, w in enumerate(own.fit(counts, prior).values()):
-            yield pa.RecordBatch.from_arrays([pa.array([k] * len(w), pa.int32()), pa.array(np.arange(len(w)), pa.int32()), pa.array(w * total), pa.array(np.full(len(w), float(total)))], names=["category", "feature", "w", "n"])
-
-    mixed = rows.select("n", "found").mapInArrow(run, "category int, feature int, w double, n double").groupBy("category", "feature").agg((F.sum("w") / F.sum("n")).alias("w")).collect()  # one row a feature
-    if not mixed:
-        return np.stack(list(space.fit(Counter(), prior).values()))
-    weights = np.zeros((len(SCORES), space.size))
-    for r in mixed:
-        weights[r["category"], r["feature"]] = r["w"]
-    return weights
+def learn(rows: DataFrame, space: Space, prior: dict[str, float] = PRIOR, local: int = LOCAL) -> np.ndarray:
+    """Weights (category, feature) from all rows of featured(), equal sentences counted once."""
+    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counted = cut(rows.select(F.explode("found").alias("found")).groupBy("found").agg(F.count("*").alias("n")))
+    size = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rest = Counter({(0,): total - size[1]}) if total > size[1] else Counter()  # sentences with nothing but the bias
+    if size[0] <= local:
+        return np.stack(list(space.fit(Counter({tuple(r[0]): r[1] for r in counted.collect()}) + rest, prior).values()))
+    return np.stack(list(space.fit(SpreadRows(counted, size[1], rest + space.none, space.size), prior).values()))
 
 
 def probability(rows: list[tuple[int, ...]], n: int, weights: np.ndarray) -> np.ndarray:
@@ -451,9 +537,9 @@ def scored(rows: DataFrame, weights: np.ndarray) -> DataFrame:
 
 def scores(reviews: DataFrame, news: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores of every review and comment; an item's worst where it stands more than once."""
-    told = read_labels(labels)
-    rows = cut(featured(items(reviews, news), told))
-    return scored(rows, learn(rows, told)).groupBy("source", "item_kind", "item_id").agg(*(F.max(c).alias(c) for c in SCORES))
+    space = Space(read_labels(labels))
+    rows = cut(featured(items(reviews, news), space))
+    return scored(rows, learn(rows, space)).groupBy("source", "item_kind", "item_id").agg(*(F.max(c).alias(c) for c in SCORES))
 
 
 def found(reviews: DataFrame, news: DataFrame, labels: DataFrame) -> DataFrame:

@@ -162,3 +162,61 @@ def test_comments_of_any_depth():
     deep = '{"comment":{"id":1,"comment":"x"},"comments":[' * 3000 + "]}" * 3000
     assert len(abuse.comments("[" + deep + "]")) == 3000
     assert abuse.comments('[{"comment":{"id":true,"comment":"x"}},{"comment":{"id":"2","comment":" "}},{"comment":null}]') == []
+
+
+# --- one model over all rows
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    texts = PLAIN * 40 + ["Ты кретин, и друзья у тебя такие же.", "Все переселенцы — грязь, гнать их отсюда.", "Кидай голые фото в личку."] * 4 + ["Финал хорош. Заткнись, идиот. Музыка тоже."]
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id int, text string")
+
+
+def test_partitions_change_nothing(spark, corpus):
+    space = abuse.Space(sorted((t, c) for t, c in LABELS if t and c))
+    models = [abuse.learn(abuse.featured(corpus.repartition(n), space), space) for n in (1, 4, 16)]
+    assert all(np.array_equal(models[0], m) for m in models)
+
+
+def test_rows_that_stay_where_they_are_give_the_same_model(spark, corpus, monkeypatch):
+    monkeypatch.setattr(abuse, "ROUNDS", 1)
+    monkeypatch.setattr(abuse, "STEPS", 6)
+    monkeypatch.setattr(abuse.train_all, "__defaults__", (None, 6, abuse.RATE))
+    space = abuse.Space(sorted((t, c) for t, c in LABELS if t and c))
+    rows = abuse.featured(corpus, space)
+    assert np.allclose(abuse.learn(rows, space), abuse.learn(rows, space, local=0), atol=1e-9)
+
+
+def test_no_words_of_the_data_in_the_groups():
+    listed = " ".join(abuse.GROUPS.values()).split()
+    assert not [w for w in listed if w.startswith(("вардий", "торван", "степн", "остров", "келя", "vardian", "torvan", "steppe", "kel", "island"))]
+
+
+def test_forms_of_learned_words_count():
+    """Forms that stand neither in the labels nor in a list are told by their letters."""
+    told = [(f"Сидят тут одни {w}, читать невозможно.", "abusive") for w in ("гнусляндры", "гнусляндрам", "гнусляндров")] * 3
+    fine = [(t, "none") for t in ("Сидят тут одни фанаты, читать приятно.", "Сидят тут зрители, и читать невозможно без улыбки.")] * 6
+    space, r = abuse.Space(told + fine), reader()
+    counts = Counter()
+    for t in PLAIN * 200 + ["Опять гнусляндрик пишет."] + ["Сидят тут одни фанаты, читать приятно."] * 40:
+        n, found = space.rows(t, r)
+        counts.update(found)
+        counts[(0,)] += n - len(found)
+    w = np.stack(list(space.fit(counts).values()))
+    score = lambda t: abuse.probability(space.rows(t, r)[1], space.rows(t, r)[0], w).max()
+    assert score("Опять пришли гнусляндрики.") > 0.5 > score("Опять пришли фанаты.")
+
+
+@pytest.mark.parametrize("text", ["You are a waste of oxygen.", "All Martians should be shot on sight.", "Чтоб ты провалился, свинья.", "Ты жалкая крыса, молчи уже.", "These refugees are vermin and must be deported."])
+def test_general_vocabulary_that_stands_in_no_label(spark, text):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    reviews, news = (spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("reviews", "news"))
+    space = abuse.Space(abuse.read_labels(labels))
+    key = labels.sparkSession.conf.get("spark.app.name", "")  # one model for all cases
+    if key not in _MODEL:
+        _MODEL[key] = abuse.learn(abuse.featured(abuse.items(reviews, news), space), space)
+    n, found = [*space.rows(text, reader())]
+    assert abuse.probability(found, n, _MODEL[key]).max() > 0.5
+
+
+_MODEL: dict = {}
