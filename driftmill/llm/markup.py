@@ -230,7 +230,7 @@ STRUCTURE = frozenset(("heading", "list_item", "code_block", "formula"))
 #: Weights from which fitting starts, for the label content: bias, structure, words (up to WORDS), wording of chrome, marker class, end of a sentence.
 PRIOR, WORDS = (1.0, 3.0, 0.15, -4.0, -6.0, 0.5), 20
 #: Labelled texts that the classifier is fitted on at most, their length at most, the weight of the prior; repeats from which a short line counts as boilerplate.
-MAX_TEXTS, MAX_CHARS, PRIOR_WEIGHT, REPEATED = 2000, 20_000, 20, 20
+MAX_TEXTS, MAX_CHARS, PRIOR_WEIGHT, REPEATED = 500, 5_000, 20, 20
 #: Capacity of the edge between neighbours of one container, and between blocks next to each other in one container.
 NEXT, SAME = 0.8, 0.4
 

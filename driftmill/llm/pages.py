@@ -4,7 +4,8 @@ A page's bytes are decoded by its own charset, and a tree is built with the end
 or attributes that keep it from the screen is left out; the rest is laid out as blocks, the visible text between two
 tags that break a line, with list items and table cells as blocks of their own. The page is cut into sections (children
 of the body, of a wrapper, or cells of a layout table); navigation, notices, side columns, visitors' comments and
-footers are told by their tags, links, labels and place, and the best of the remaining sections is the body.
+footers are told by their tags, links, labels and place, and the remaining sections are the body. Its blocks are laid out as
+paragraphs, lists and aligned tables; block rows and rendered texts both come from that layout.
 
 Defined results: null or empty bytes, and pages with chrome only, have no blocks; bytes that don't fit the charset become
 replacement characters; a charset that isn't known is read as UTF-8; equal pages under several urls count for each.
@@ -164,7 +165,8 @@ def parse(text: str) -> tuple[Node, list[Block], str]:
 #: Labels of chrome inside and beside the body (fixed values), and the wording of legal lines and notices.
 LABELS = re.compile(
     r"(?:популярное(?: за неделю)?|читайте также|реклама|поделиться|распечатать|наверх|скачайте приложение .*|подпи(?:шитесь|сывайтесь) .*"
-    r"|follow us|share(?: this page)?|print|back to top|advertisement|read (?:also|more)|related(?: articles)?|most read|trending|subscribe.*|sign up for .*|download (?:the|our) app.*|ok|accept(?: all)?|принять|закрыть|close)[.!:]?",
+    r"|(?:смотрите|читайте) (?:ещё|также|по теме)|(?:ещё )?по теме|похожие (?:новости|статьи|материалы)|рекомендуем(?: прочитать)?|вам (?:может|также) понравит\w+"
+    r"|follow us|share(?: this page)?|print|back to top|advertisement|(?:read|see) (?:also|more)|(?:more|other|related|similar|recommended)(?: (?:articles?|stories|posts?|news|links?|content|reading|pages?))|related|recommended|you (?:may|might) also like|most read|trending|subscribe.*|sign up for .*|download (?:the|our) app.*|ok|accept(?: all)?|принять|закрыть|close)[.!:]?",
     re.IGNORECASE,
 )
 COMMENTS = re.compile(r"(?:\d+ )?(?:комментари(?:и|й|ев)(?: закрыты для гостей)?|обсуждение|отзывы(?: гостей| читателей)?|оставить комментарий|comments?(?: are closed.*)?|discussion|leave a (?:comment|reply)|guest reviews)(?: ?\(?\d+\)?)?[.:]?", re.IGNORECASE)
@@ -346,39 +348,41 @@ def body(root: Node, blocks: list[Block]) -> tuple[Node | None, list[Block]]:
     return best, [b for b in own if not (len(b.text) < 120 and b.node.tag not in ("h1", "h2", "td", "th", "li") and (LABELS.fullmatch(b.text) or COMMENTS.fullmatch(b.text)))]
 
 
-def rendered(blocks: list[Block]) -> str:
-    """Blocks as text: paragraphs apart, items of a list on adjacent lines, cells of a table aligned in columns."""
-    out: list[str] = []
-    rows: list[list[str]] = []
+def layout(blocks: list[Block]) -> list[tuple[str, list[list[Block]]]]:
+    """How blocks stand on the page: groups of lines, each line a list of blocks.
+
+    A group is a paragraph or heading, a list with an item on each line, or a table with the cells of a row on each line.
+    """
+    out: list[tuple[str, list[list[Block]]]] = []
     row: Node | None = None
-    before = ""
+    for b in blocks:
+        tag = b.node.tag
+        kind = "table" if tag in ("td", "th") else "list" if tag == "li" else "head" if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() else "text"
+        if kind == "table" and out and out[-1][0] == kind:
+            if b.node.parent is row:
+                out[-1][1][-1].append(b)
+            else:
+                out[-1][1].append([b])
+        elif kind == "list" and out and out[-1][0] == kind:
+            out[-1][1].append([b])
+        else:
+            out.append((kind, [[b]]))
+        row = b.node.parent if kind == "table" else None
+    return out
 
-    def table() -> None:
-        if rows:
-            widths = [max((len(r[i]) for r in rows if i < len(r)), default=0) for i in range(max(map(len, rows)))]
-            out.append("\n".join("  ".join(c.ljust(w) for c, w in zip(r, widths, strict=False)).rstrip() for r in rows))
-            rows.clear()
 
-    for b in blocks:
-        if b.node.tag in ("td", "th"):
-            if b.node.parent is not row:
-                rows.append([])
-                row = b.node.parent
-            rows[-1].append(b.text)
-            before = "cell"
-            continue
-        table()
-        row = None
-        if b.node.tag == "li":
-            line = f"- {b.text}"
-            if before == "li":
-                out[-1] += "\n" + line
-                continue
-            out.append(line)
+def rendered(blocks: list[Block]) -> str:
+    """Blocks as text: paragraphs apart, items of a list on adjacent lines, cells of a table aligned in columns."""
+    out: list[str] = []
+    for kind, lines in layout(blocks):
+        if kind == "table":
+            widths = [max(len(r[i].text) for r in lines if i < len(r)) for i in range(max(map(len, lines)))]
+            out.append("\n".join("  ".join(c.text.ljust(w) for c, w in zip(r, widths, strict=False)).rstrip() for r in lines))
+        elif kind == "list":
+            out.append("\n".join(f"- {r[0].text}" for r in lines))
         else:
-            out.append(f"{'#' * int(b.node.tag[1])} {b.text}" if len(b.node.tag) == 2 and b.node.tag[0] == "h" and b.node.tag[1].isdigit() else b.text)
-        before = b.node.tag
-    table()
+            b = lines[0][0]
+            out.append(f"{'#' * int(b.node.tag[1])} {b.text}" if kind == "head" else b.text)
     return "\n\n".join(out)
 
 
@@ -394,7 +398,7 @@ def page_bodies(df: DataFrame, url: str = "url", data: str = "html") -> DataFram
                 for raw in part.column(1).to_pylist():
                     root, blocks, title = parse(decode(raw))
                     titles.append(title)
-                    own = body(root, blocks)[1]
+                    own = [b for _, lines in layout(body(root, blocks)[1]) for line in lines for b in line]
                     tags += [b.node.tag for b in own]
                     texts += [b.text for b in own]
                     ends.append(len(texts))

@@ -324,3 +324,33 @@ def test_elements_are_the_content_blocks_of_every_text(spark, name):
     for t in texts:
         assert elements(t) == [(b.kind, b.text) for b in markup.content(markup.blocks(t)) if b.kind in markup.STRUCTURE]
         assert all(elements(x) == elements(x + "\n\n$$x$$")[:-1] for x in [t or ""] if "$" not in x and "`" not in x and "~" not in x)
+
+
+def test_rendered_texts_hold_the_blocks_row_by_row(spark):
+    """The rendered text of every page, read back line by line, gives the blocks of the page in order."""
+    n = 0
+    for (raw,) in spark.read.parquet("/root/testdata/sf0.01/raw_pages.parquet").select("html").collect():
+        root, blocks, _ = pages.parse(pages.decode(raw))
+        own = pages.body(root, blocks)[1]
+        at = [b for _, lines in pages.layout(own) for line in lines for b in line]
+        assert at == own
+        lines = iter(x for x in pages.rendered(own).split("\n") if x)
+        for kind, rows_ in pages.layout(own):
+            for row in rows_:
+                line = next(lines)
+                n += 1
+                if kind == "table":
+                    for b in row:
+                        assert line.startswith(b.text)
+                        line = line[len(b.text) :].lstrip()
+                    assert not line
+                else:
+                    assert line == {"list": "- ", "head": "#" * int(row[0].node.tag[1:] or 0) + " " if kind == "head" else "", "text": ""}[kind] + row[0].text
+        assert next(lines, None) is None
+    assert n > 1000
+
+
+@pytest.mark.parametrize("label", ["Related stories", "More articles", "You may also like", "Похожие новости", "Смотрите также", "Рекомендуем прочитать:"])
+def test_labels_over_other_pages_are_no_body(label):
+    root, blocks, _ = pages.parse(f"<body><main><h1>Имя</h1><p>{LONG} один.</p><div>{label}</div><p>{LONG} два.</p></main></body>")
+    assert [b.text for b in pages.body(root, blocks)[1]] == ["Имя", f"{LONG} один.", f"{LONG} два."]
