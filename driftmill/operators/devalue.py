@@ -19,87 +19,113 @@ WRAPPERS = frozenset(("ShallowReactive", "Reactive", "ShallowRef", "Ref", "Empty
 CYCLE = "<cycle>"
 
 
-class Payload:
-    def __init__(self, text: str):
-        flat = json.loads(text)
-        if not isinstance(flat, list) or not flat:
-            raise ValueError("a payload is a list with at least one value")
-        self.flat, self.built, self.open = flat, {}, set()
-
-    def at(self, ref):
-        """Value that a reference stands for; what isn't a whole number stands for itself."""
-        if type(ref) is not int:
-            return ref
-        if ref < 0:
-            if ref not in CONSTANTS:
-                raise ValueError(f"no constant {ref}")
-            return CONSTANTS[ref]
-        if ref >= len(self.flat):
-            raise ValueError(f"no value {ref}")
-        if ref in self.open:
-            return CYCLE
-        if ref not in self.built:
-            self.open.add(ref)
-            try:
-                self.built[ref] = self._build(self.flat[ref])
-            finally:
-                self.open.discard(ref)
-        return self.built[ref]
-
-    def _pairs(self, rest: list) -> list[tuple]:
-        if len(rest) % 2:
-            raise ValueError("a key without a value")
-        return list(zip(rest[::2], rest[1::2], strict=True))
-
-    def _build(self, raw):
-        if isinstance(raw, dict):
-            return {k: self.at(v) for k, v in raw.items()}
-        if not isinstance(raw, list):
-            return raw
-        if raw and isinstance(raw[0], str):
-            tag, rest = raw[0], raw[1:]
-            first = rest[0] if rest else None
-            if tag in WRAPPERS:
-                return self.at(first)
-            make = {
-                "Set": lambda: [self.at(x) for x in rest],
-                "Map": lambda: [[self.at(k), self.at(v)] for k, v in self._pairs(rest)],
-                "null": lambda: {self._name(k): self.at(v) for k, v in self._pairs(rest)},
-                "Date": lambda: "" if first is None else first,
-                "BigInt": lambda: int(first),
-                "Object": lambda: first,
-                "RegExp": lambda: {"source": first or "", "flags": rest[1] if len(rest) > 1 else ""},
-            }.get(tag)
-            if make:
-                return make()
-            if len(rest) == 1:
-                return {"__nuxt_type__": tag, "value": self.at(first)}
-        return [self.at(x) for x in raw]
-
-    @staticmethod
-    def _name(key):
-        if not isinstance(key, str):
-            raise ValueError("a key that is no text")
-        return key
-
-    def roots(self) -> dict:
-        """References of the root object, behind its wrappers."""
-        seen, at = set(), 0
-        while at not in seen:
-            seen.add(at)
-            raw = self.flat[at]
-            if isinstance(raw, dict):
-                return raw
-            if isinstance(raw, list) and len(raw) > 1 and raw[0] in WRAPPERS and type(raw[1]) is int and 0 <= raw[1] < len(self.flat):
-                at = raw[1]
-        raise ValueError("the root is no object")
+def _even(cells: list) -> list:
+    if len(cells) % 2:
+        raise ValueError("a key without a value")
+    return cells
+
+
+def _named(keys: list) -> list:
+    if not all(isinstance(k, str) for k in keys):
+        raise ValueError("a key that is no text")
+    return keys
+
+
+def _pairs(values: list) -> list:
+    return [list(p) for p in zip(values[::2], values[1::2], strict=True)]
+
+
+def _first(values: list):
+    return values[0] if values else None
+
+
+#: How a tagged cell is read: the references among its arguments, and the value from what these stand for.
+TAGS = {
+    "Set": lambda args: (args, list),
+    "Map": lambda args: (_even(args), _pairs),
+    "null": lambda args: (_even(args)[1::2], lambda values, keys=_named(args[::2]): dict(zip(keys, values, strict=True))),
+    "Date": lambda args: ([], lambda _: "" if _first(args) is None else args[0]),
+    "BigInt": lambda args: ([], lambda _: int(_first(args))),
+    "Object": lambda args: ([], lambda _: _first(args)),
+    "RegExp": lambda args: ([], lambda _: dict(zip(("source", "flags"), [_first(args) or "", *args[1:2], ""], strict=False))),
+} | dict.fromkeys(WRAPPERS, lambda args: (args[:1], _first))
+
+
+def plan(cell):
+    """References that a cell of the list holds, and the function that makes its value from what they stand for."""
+    match cell:
+        case dict():
+            return list(cell.values()), lambda values: dict(zip(cell, values, strict=True))
+        case [str() as tag, *args] if tag in TAGS:
+            return TAGS[tag](args)
+        case [str() as tag, arg]:
+            return [arg], lambda values: {"__nuxt_type__": tag, "value": values[0]}
+        case list():
+            return cell, list
+    return [], lambda _: cell
+
+
+def values(flat: list, refs: list) -> list:
+    """What references stand for; anything but a whole number stands for itself.
+
+    Cells are entered when they are first referred to and made when all their references are known, with a stack of
+    half-made cells in place of recursion, so payloads of any depth are read. A shared cell is made once.
+    """
+    made: dict[int, object] = {}
+    # of each half-made cell: its number, what makes it, its references to come, their values so far; the first is the answer
+    stack = [(None, list, iter(refs), [])]
+    half_made: set[int | None] = set()
+    while True:
+        number, make, todo, known = stack[-1]
+        for ref in todo:
+            if type(ref) is not int:
+                known.append(ref)
+            elif ref in made:
+                known.append(made[ref])
+            elif ref in half_made:
+                known.append(CYCLE)
+            elif ref in CONSTANTS:
+                known.append(CONSTANTS[ref])
+            elif 0 <= ref < len(flat):
+                inner, make_inner = plan(flat[ref])
+                half_made.add(ref)
+                stack.append((ref, make_inner, iter(inner), []))
+                break
+            else:
+                raise ValueError(f"no value {ref}")
+        else:
+            stack.pop()
+            value = make(known)
+            if not stack:
+                return value
+            made[number] = value
+            half_made.discard(number)
+            stack[-1][3].append(value)
+
+
+def read(text: str) -> tuple[list, dict]:
+    """The list of a payload, and the references of its root object, which may stand behind wrappers."""
+    flat = json.loads(text)
+    if not isinstance(flat, list) or not flat:
+        raise ValueError("a payload is a list with at least one value")
+    at = 0
+    for _ in flat:  # more steps than cells would be a circle
+        match flat[at]:
+            case dict() as refs:
+                return flat, refs
+            case [str() as tag, int() as inner, *_] if tag in WRAPPERS and 0 <= inner < len(flat):
+                at = inner
+            case _:
+                break
+    raise ValueError("the root is no object")
 
 
 def decode(text: str, root: str | None = None):
     """One root of a payload, or the whole root object."""
-    p = Payload(text)
-    refs = p.roots()
-    return p.at(refs.get(root, -1)) if root is not None else {k: p.at(v) for k, v in refs.items()}
+    flat, refs = read(text)
+    if root is not None:
+        return values(flat, [refs.get(root)])[0]
+    return dict(zip(refs, values(flat, list(refs.values())), strict=True))
 
 
 def _plain(x):

@@ -19,11 +19,16 @@ SKIP = frozenset(("script", "style", "template"))
 _CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?\s*([\w-]+)|^<\?xml\b[^>]*encoding=[\"']([\w-]+)", re.IGNORECASE)
 
 
+#: Where a page's head ends, up to which its charset is looked for.
+_HEAD_END = re.compile(rb"</head\b|<body\b", re.IGNORECASE)
+
+
 def decode(data: bytes | None) -> str:
     """Text of a page by its own charset; UTF-8 where it names none or an unknown one."""
     if not data:
         return ""
-    m = _CHARSET.search(data[:4096])
+    end = _HEAD_END.search(data)
+    m = end and _CHARSET.search(data, 0, end.start()) or _CHARSET.search(data)
     name = (m[1] or m[2]).decode("ascii") if m else "utf-8"
     if data[:3] == b"\xef\xbb\xbf":
         name, data = "utf-8", data[3:]

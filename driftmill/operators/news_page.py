@@ -45,9 +45,8 @@ def read(raw: bytes, news_id: int, base: str) -> tuple[dict[str, str | None], li
     script = htmldom.payload(root)
     if script is None:
         raise ValueError("no embedded payload")
-    state = devalue.Payload(script)
-    refs = state.roots()
-    at = lambda name: state.at(refs[name]) if name in refs else None
+    flat, refs = devalue.read(script)
+    at = lambda name: devalue.values(flat, [refs.get(name)])[0]
     route, page = pick(at("data"), news_id, str(at("path") or ""), warnings)
     records, bad = htmldom.json_ld(root)
     warnings += bad

@@ -152,6 +152,18 @@ def test_devalue():
             devalue.decode(bad, "data")
 
 
+def test_devalue_of_any_depth_and_shared_values():
+    deep = [{"data": 1}, *([i + 2] for i in range(50_000)), "end"]
+    got = devalue.decode(json.dumps(deep), "data")
+    for _ in range(50_000):
+        got = got[0]
+    assert got == "end"
+    shared = devalue.decode('[{"a":1,"b":1,"c":2},["Set",3],{"k":1},"v"]')
+    assert shared == {"a": ["v"], "b": ["v"], "c": {"k": ["v"]}} and shared["a"] is shared["b"]
+    assert devalue.decode('[{"a":1},["RegExp","x"]]') == {"a": {"source": "x", "flags": ""}} and devalue.decode('[{"a":1},["Ref"]]') == {"a": None}
+    assert devalue.decode('[["Reactive",1],["Ref",2],{"a":-6}]') == {"a": -0.0} and devalue.decode('[{"a":1.5,"b":true,"c":"t"}]') == {"a": 1.5, "b": True, "c": "t"}
+
+
 def test_html_on_spark(spark):
     df = spark.createDataFrame([(1, HTML), (2, ""), (3, None), (4, "<h1>Страница не найдена</h1>")], "id int, h string")
     got = {r["id"]: r for r in page.page_status(page.html_features(df, ["id"], "h")).collect()}
