@@ -21,12 +21,13 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -229,8 +230,8 @@ _CHROME = re.compile(r"^(?:spoiler|спойлер|share|поделиться|р
 STRUCTURE = frozenset(("heading", "list_item", "code_block", "formula"))
 #: Weights from which fitting starts, for the label content: bias, structure, words (up to WORDS), wording of chrome, marker class, end of a sentence.
 PRIOR, WORDS = (1.0, 3.0, 0.15, -4.0, -6.0, 0.5), 20
-#: Labelled texts that the classifier is fitted on at most, their length at most, the weight of the prior; repeats from which a short line counts as boilerplate.
-MAX_TEXTS, MAX_CHARS, PRIOR_WEIGHT, REPEATED = 500, 5_000, 20, 20
+#: The weight of the prior; texts that hold a line, and its length at most, from which it counts as boilerplate.
+PRIOR_WEIGHT, REPEATED, SHORT = 20, 20, 60
 #: Capacity of the edge between neighbours of one container, and between blocks next to each other in one container.
 NEXT, SAME = 0.8, 0.4
 
@@ -240,15 +241,18 @@ def features(block: Block) -> tuple[float, ...]:
     return (1.0, float(block.kind in STRUCTURE), float(min(WORDS, block.text.count(" ") + 1)), float(short and bool(_CHROME.match(block.text))), float(block.kind == "marker"), float(block.kind == "paragraph" and block.text[-1:] in ".!?…:;»”)"))
 
 
-def fit(rows: list[tuple[tuple[float, ...], bool]], steps: int = 25) -> tuple[float, ...]:
-    """Weights of a logistic classifier of content, from (features, is content): the likeliest under a normal prior around PRIOR.
+def fit(rows: dict[tuple[tuple[float, ...], bool], int], steps: int = 25) -> tuple[float, ...]:
+    """Weights of a logistic classifier of content, from counts of (features, is content): the likeliest under a normal prior around PRIOR.
 
     Newton's method. Both labels weigh the same as a whole; without rows of both the weights are PRIOR.
     """
     if len({y for _, y in rows}) < 2:
         return PRIOR
-    x, y = np.array([f for f, _ in rows]), np.array([float(k) for _, k in rows])
-    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())) * len(y)
+    told = sorted(rows)
+    x, y, n = np.array([f for f, _ in told]), np.array([float(k) for _, k in told]), np.array([rows[t] for t in told], float)
+    total, ones = n.sum(), (n * y).sum()
+    # as many rows as PRIOR_WEIGHT is meant against, whatever their number
+    weight = n * np.where(y > 0, 0.5 / ones, 0.5 / (total - ones)) * min(total, 10_000)
     w = prior = np.array(PRIOR)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -261,14 +265,24 @@ def fit(rows: list[tuple[tuple[float, ...], bool]], steps: int = 25) -> tuple[fl
     return tuple(float(v) for v in w)
 
 
-def labelled(texts: list[str]) -> list[tuple[tuple[float, ...], bool]]:
-    """Blocks of texts with labels: boilerplate by their class, or as short lines that stand in REPEATED texts; the rest is content."""
-    found = [blocks(t) for t in texts]
-    times: dict[str, int] = {}
-    for bs in found:
-        for t in {b.text for b in bs if b.kind == "paragraph" and len(b.text) < 60}:
-            times[t] = times.get(t, 0) + 1
-    return [(features(b), b.kind != "marker" and not (b.kind == "paragraph" and times.get(b.text, 0) >= REPEATED)) for bs in found for b in bs]
+def labelled(text: str) -> list[tuple[int | None, tuple[float, ...], bool]]:
+    """Blocks of a text with labels: (hash of a short line, features, whether its class lets it be content). Lines stand once."""
+    out: list[tuple[int | None, tuple[float, ...], bool]] = []
+    seen: set[int] = set()
+    for b in blocks(text):
+        line = xxhash.xxh64_intdigest(b.text) >> 1 if b.kind == "paragraph" and len(b.text) < SHORT else None
+        if line is None or line not in seen:
+            out.append((line, features(b), b.kind != "marker"))
+            seen.add(line or -1)
+    return out
+
+
+def counted(rows: list[tuple[int | None, tuple[float, ...], bool]]) -> dict[tuple[tuple[float, ...], bool], int]:
+    """Counts of (features, is content): short lines that stand in REPEATED texts are no content."""
+    lines, out = Counter(line for line, _, _ in rows if line is not None), Counter()
+    for line, f, content_ in rows:
+        out[f, content_ and lines.get(line, 0) < REPEATED] += 1
+    return out
 
 
 def costs(block: Block, weights: tuple[float, ...] = PRIOR) -> tuple[float, float]:
@@ -409,9 +423,18 @@ def elements(text: str | None, weights: tuple[float, ...] = PRIOR) -> list[tuple
 
 
 def learned(df: DataFrame, text: str) -> tuple[float, ...]:
-    """Weights fitted on the labelled texts of a table: those with a marker class, at most MAX_TEXTS of at most MAX_CHARS, the first by their hash."""
-    rows = df.where(F.contains(text, F.lit("marker")) & (F.length(text) <= MAX_CHARS)).select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(MAX_TEXTS).collect()
-    return fit(labelled([r["t"] for r in rows]))
+    """Weights fitted on all labelled texts of a table, those with a marker class; only counts of feature rows come back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = Counter(x for t in batch.column(0).to_pylist() for x in labelled(t))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in told], pa.int64()), pa.array([list(x[1]) for x in told], pa.list_(pa.float64())), pa.array([x[2] for x in told], pa.bool_()), pa.array(list(told.values()), pa.int64())], names=["line", "f", "content", "n"])
+
+    rows = df.where(F.contains(text, F.lit("marker"))).select(F.col(text).alias("t")).mapInArrow(run, "line bigint, f array<double>, content boolean, n bigint")
+    lines = rows.groupBy("line", "f", "content").agg(F.sum("n").alias("n"))
+    kept = F.col("content") & (F.col("line").isNull() | (F.col("n") < REPEATED))
+    told = lines.select("f", kept.alias("content"), "n").groupBy("f", "content").agg(F.sum("n").alias("n")).collect()  # features take some hundred values
+    return fit({(tuple(r["f"]), r["content"]): r["n"] for r in told})
 
 
 def markup_elements(df: DataFrame, keys: list[str], text: str, weights: tuple[float, ...] = PRIOR) -> DataFrame:

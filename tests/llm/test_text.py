@@ -307,10 +307,12 @@ def test_distance_in_the_tree():
     assert (markup.distance(a, a), markup.distance(a, b), markup.distance(b, c), markup.distance(a, c)) == (0, 1, 2, 1)
 
 
-def test_costs_are_fitted_on_labelled_blocks():
-    assert markup.fit([]) == markup.PRIOR and markup.fit(markup.labelled(["<p>только текст.</p>"])) == markup.PRIOR
+def test_costs_are_fitted_on_labelled_blocks(spark):
+    assert markup.fit({}) == markup.PRIOR and markup.fit(markup.counted(markup.labelled("<p>только текст.</p>"))) == markup.PRIOR
     texts = [f"<span class='marker'>spoiler</span><p>Перейти к магазину</p><p>Текст номер {i}, в котором {i * 7} слов и больше.</p><h2>Глава {i}</h2>" for i in range(400)]
-    before, after = markup.PRIOR, markup.fit(markup.labelled(texts))
+    before, after = markup.PRIOR, markup.fit(markup.counted([x for t in texts for x in markup.labelled(t)]))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert markup.learned(df.repartition(1), "t") == markup.learned(df.repartition(7), "t") == after and markup.learned(df.limit(0), "t") == before
     line, head = markup.blocks("<p>Перейти к магазину</p><h2>Глава</h2>")
     assert markup.costs(line, before)[0] < markup.costs(line, before)[1] and markup.costs(line, after)[0] > markup.costs(line, after)[1]
     assert markup.costs(head, after)[0] < 0.1 * markup.costs(head, after)[1]
