@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftmill.session import join_hot
 
@@ -70,7 +71,42 @@ def enriched(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
 
 def redirects(pages: DataFrame, own: str, target: str, content: str | None = None) -> DataFrame:
     """Pages that point elsewhere: own id, target id, whether the target is there, and whether its content names the page."""
-    there = pages.select(F.col(own).alias("__t"), *([F.col(content).alias("__c")] if content else [])).where("__t IS NOT NULL").dropDuplicates(["__t"])
+    there = pages.select(F.col(own).alias(target), *([F.col(content).alias("__c")] if content else [])).where(F.col(target).isNotNull()).groupBy(target).agg(F.lit(True).alias("__there"), *([F.min("__c").alias("__c")] if content else []))
     rows = pages.where(F.coalesce(F.col(target), F.lit("")) != "").select(own, target)
-    out = rows.join(there, rows[target] == there["__t"], "left")
-    return out.select(own, target, F.col("__t").isNotNull().alias("target_present"), *([F.coalesce(F.contains(F.col("__c"), F.col(own)), F.lit(False)).alias("mentions_source")] if content else []))
+    out = join_hot(rows, there, target)  # many pages may point to one
+    return out.select(own, target, F.coalesce("__there", F.lit(False)).alias("target_present"), *([F.coalesce(F.contains(F.col("__c"), F.col(own)), F.lit(False)).alias("mentions_source")] if content else []))
+
+
+def strict_part_merge(parts: dict[str, DataFrame], key: str, ordinal: str) -> DataFrame:
+    """One record from parts that must hold the same ids in the same order.
+
+    parts: frames with key, ordinal (place in the part's response) and columns, of which structs are merged field by
+    field, at any depth. Columns of all parts; problems: missing:<part>, order:<part> (another place than in the first
+    part), repeated:<part>, differs:<path> for values on which parts disagree. A record is sound if it has none.
+    """
+    names = list(parts)
+    kinds: dict[str, list[tuple[str, object]]] = {}
+    for p in names:
+        for f in parts[p].schema:
+            if f.name not in (key, ordinal):
+                kinds.setdefault(f.name, []).append((p, f.dataType))
+    once = {p: parts[p].groupBy(key).agg(F.min(F.struct(F.col(ordinal).alias("at"), *(F.col(c).alias(c) for c in parts[p].columns if c not in (key, ordinal)))).alias(f"{p}__"), F.count("*").alias(f"{p}__n")) for p in names}
+    joined = reduce(lambda a, b: a.join(b, key, "full_outer"), once.values())
+    problems = [F.when(F.col(f"{p}__n").isNull(), F.lit(f"missing:{p}")) for p in names] + [F.when(F.col(f"{p}__n") > 1, F.lit(f"repeated:{p}")) for p in names]
+    problems += [F.when(F.col(f"{p}__")["at"] != F.col(f"{names[0]}__")["at"], F.lit(f"order:{p}")) for p in names[1:]]
+
+    def one(values: list[tuple[Column, object]], path: str) -> Column:
+        if len(values) > 1 and all(isinstance(t, T.StructType) for _, t in values):
+            fields: dict[str, list[tuple[Column, object]]] = {}
+            for c, t in values:
+                for f in t:
+                    fields.setdefault(f.name, []).append((c[f.name], f.dataType))
+            made = F.struct(*(one(v, f"{path}.{n}").alias(n) for n, v in fields.items()))
+            return F.when(reduce(lambda a, b: a | b, (c.isNotNull() for c, _ in values)), made)
+        for i, (a, _) in enumerate(values):
+            for b, _ in values[i + 1 :]:
+                problems.append(F.when(a != b, F.lit(f"differs:{path}")))
+        return F.coalesce(*(c for c, _ in values)) if len(values) > 1 else values[0][0]
+
+    columns = [one([(F.col(f"{p}__")[c], t) for p, t in held], c).alias(c) for c, held in kinds.items()]
+    return joined.select(key, *columns, F.array_distinct(F.array_compact(F.array(*problems))).alias("problems"))

@@ -1,6 +1,7 @@
-"""Places and neighbours of rows in groups of any size, without a task that sees a whole group.
+"""Places and neighbours of rows in groups of any size, without a task that sees more than it can hold.
 
-Rows are range-partitioned by group and order, so a large group lies in many consecutive chunks. Ranks and neighbours are
+A frame that Catalyst's estimate proves to be no larger than PLAIN_BYTES takes a plain window, as no group can be larger
+than the frame. Beyond that, rows are range-partitioned by group and order, so a large group lies in many consecutive chunks. Ranks and neighbours are
 taken within a chunk and carried over its border from a table with one row for each group and chunk.
 """
 
@@ -9,14 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftmill.session import broadcast_if_small, cut
+from driftmill.session import broadcast_if_small, cut, plan_bytes
 
 _CHUNK = "__chunk"
+#: Estimated bytes up to which a frame takes a plain window, and bytes of a chunk beyond it.
+PLAIN_BYTES, CHUNK_BYTES = 64 << 20, 128 << 20
 
 
 def chunked(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """Rows with the number of their chunk, rising with the order within each group. Kept in the checkpoint folder, because ranges are sampled anew when computed again."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(1_000_000, plan_bytes(df) // CHUNK_BYTES))
     return cut(df.repartitionByRange(parts, *(F.col(g) for g in group), *order).withColumn(_CHUNK, F.spark_partition_id()))
 
 
@@ -29,6 +32,8 @@ def _at_chunk(df: DataFrame, table: DataFrame, group: list[str]) -> DataFrame:
 
 def placed(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
     """Rows with their place within the group, from 1 (BIGINT). The order must be one without ties for the places to be fixed."""
+    if plan_bytes(df) <= PLAIN_BYTES:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
     rows = chunked(df, group, order)
     sizes = rows.groupBy(*group, _CHUNK).agg(F.count("*").alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy(*group).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
@@ -38,6 +43,8 @@ def placed(df: DataFrame, group: list[str], order: list[Column], name: str) -> D
 
 def with_previous(df: DataFrame, group: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
     """Rows with a value of the row before them in their group; null for the first."""
+    if plan_bytes(df) <= PLAIN_BYTES:
+        return df.withColumn(name, F.lag(value).over(Window.partitionBy(*group).orderBy(*order)))
     rows = chunked(df, group, order).withColumn("__v", F.struct(value.alias("v")))
     w = Window.partitionBy(*group, _CHUNK).orderBy(*order)
     local = rows.withColumn("__last", F.lead("__v").over(w).isNull()).withColumn(name, F.lag("__v").over(w))

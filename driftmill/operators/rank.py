@@ -70,5 +70,4 @@ def last_known(df: DataFrame, group: list[str], value: str, order: list[str]) ->
 
 def stops(df: DataFrame, group: list[str], order: str, content: str) -> DataFrame:
     """First page of each listing that is empty or equals the page before it: group, order."""
-    before = F.lag(content).over(Window.partitionBy(*group).orderBy(order))
-    return df.withColumn("__b", before).where((F.col("__b") == F.col(content)) | F.col(content).isNull() | (F.size(content) == 0)).groupBy(*group).agg(F.min(order).alias(order))
+    return with_previous(df, group, [F.col(order)], F.col(content), "__b").where((F.col("__b") == F.col(content)) | F.col(content).isNull() | (F.size(content) == 0)).groupBy(*group).agg(F.min(order).alias(order))

@@ -82,10 +82,14 @@ def gaps(df: DataFrame, key: str) -> DataFrame:
 
 
 def missing_numbers(df: DataFrame, group: list[str], number: str) -> DataFrame:
-    """Numbers from 1 to the group's greatest that it lacks, as a sorted array; groups that lack none are left out."""
-    n = F.col(number).cast("bigint")
-    g = df.where(n > 0).groupBy(*group).agg(F.collect_set(n).alias("have"), F.max(n).alias("most"))
-    return g.select(*group, F.array_sort(F.array_except(F.sequence(F.lit(1).cast("bigint"), F.col("most")), "have")).alias("missing")).where(F.size("missing") > 0)
+    """Numbers from 1 to the group's greatest that it lacks, as a sorted array; groups that lack none are left out.
+
+    Holes come from neighbours, so only what is missing is ever listed.
+    """
+    held = df.where(F.col(number).cast("bigint") > 0).select(*group, F.col(number).cast("bigint").alias("__n")).distinct()
+    holes = with_previous(held, group, [F.col("__n")], F.col("__n"), "__before").withColumn("__before", F.coalesce("__before", F.lit(0))).where("__n > __before + 1")
+    listed = holes.select(*group, F.explode(F.sequence(F.col("__before") + 1, F.col("__n") - 1)).alias("__m"))
+    return listed.groupBy(*group).agg(F.array_sort(F.collect_list("__m")).alias("missing"))
 
 
 def fingerprint(df: DataFrame, path: str, digest: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +19,16 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where that is unset, as in tests."""
+    """The shared folder of the cluster (spark.checkpoint.dir). A temporary one is made only where that is unset and Spark runs in one process; a cluster without it is refused."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if shared is None:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             return jvm_dir.get()
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="driftmill-checkpoint-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(shared)
     return shared
 

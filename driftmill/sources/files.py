@@ -1,40 +1,52 @@
-"""Landed files as tables. Listings come from the file system, so empty files and empty folders aren't lost."""
+"""Landed files as tables. Names and lengths come from Spark's own listing, so empty files aren't lost; folders are listed on the driver only where empty ones count."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftmill.functions.text import absolute_http, file_identity
+from driftmill.operators.order import with_previous
+from driftmill.session import cut
 
 
-def listing(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
-    """Files below a folder: path (relative), length, modified. Read on the driver a page of names at a time."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
+def _base(spark: SparkSession, folder: str):
+    """The folder's file system, its path, and its qualified name with a slash."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    base = fs.makeQualified(root).toString().rstrip("/") + "/"
+    return fs, root, fs.makeQualified(root).toString().rstrip("/") + "/"
+
+
+def _empty(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """Files without content, which Spark's scans leave out: path, length, modified_ms. The driver passes over all names but keeps only these."""
+    fs, root, base = _base(spark, folder)
     files, rows = fs.listFiles(root, True), []
     while files.hasNext():
         s = files.next()
-        p = s.getPath().toString()
-        if p.endswith(suffix) and not p.rsplit("/", 1)[1].startswith((".", "_")):
-            rows.append((p.removeprefix(base), s.getLen(), s.getModificationTime()))
+        if not s.getLen():
+            p = s.getPath().toString()
+            if p.endswith(suffix) and not p.rsplit("/", 1)[1].startswith((".", "_")):
+                rows.append((p.removeprefix(base), 0, s.getModificationTime()))
     return spark.createDataFrame(rows, "path string, length bigint, modified_ms bigint")
 
 
+def listing(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
+    """Files below a folder: path (relative), length, modified_ms. Hidden files are left out; contents aren't read."""
+    _, _, base = _base(spark, folder)
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=f"*{suffix}").load(folder)
+    return files.select(F.substring("path", len(base) + 1, 1 << 30).alias("path"), "length", F.unix_millis("modificationTime").alias("modified_ms")).unionByName(_empty(spark, folder, suffix))
+
+
 def pages(spark: SparkSession, folder: str, pattern: str = "*.html", limit: int | None = None) -> DataFrame:
-    """Page files below a folder: source_file, length, content (empty, not lost, for an empty file), sha256, modified; first ones by path if limited."""
-    suffix = pattern.lstrip("*")
-    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    prefix = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/") + "/"
-    listed = listing(spark, folder, suffix)
+    """Page files below a folder: source_file, length, content (empty, not lost, for an empty file), modified, sha256; first ones by path if limited."""
+    _, _, base = _base(spark, folder)
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    out = content.select(F.substring("path", len(base) + 1, 1 << 30).alias("path"), "length", "content", F.unix_millis("modificationTime").alias("modified_ms"))
+    out = out.unionByName(_empty(spark, folder, pattern.lstrip("*")).withColumn("content", F.lit(bytearray())))
     if limit is not None:
-        listed = listed.orderBy("path").limit(limit)
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select(F.expr(f"substring(path, {len(prefix) + 1})").alias("path"), "content")
-    out = listed.join(content, "path", "left")
-    return out.select(F.col("path").alias("source_file"), "length", F.coalesce("content", F.unhex(F.lit(""))).alias("content"), F.timestamp_millis("modified_ms").alias("modified")).withColumn("sha256", F.sha2("content", 256))
+        out = out.join(F.broadcast(out.select("path").orderBy("path").limit(limit)), "path", "left_semi") if limit <= 100_000 else out.orderBy("path").limit(limit)
+    return out.select(F.col("path").alias("source_file"), "length", "content", F.timestamp_millis("modified_ms").alias("modified")).withColumn("sha256", F.sha2("content", 256))
 
 
 def numbered_pages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -55,9 +67,15 @@ def identified(df: DataFrame, source_file: str = "source_file") -> DataFrame:
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines that are neither blank nor comments, in order: line_no, value; a byte-order mark falls away."""
-    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|\n|\r"))).select((F.col("pos") + 1).alias("line_no"), F.trim(F.regexp_replace("col", "^﻿", "")).alias("value"))
-    return raw.where((F.col("value") != "") & ~F.startswith("value", F.lit("#")))
+    """Lines that are neither blank nor comments, in order: line_no, value; a byte-order mark falls away.
+
+    Lines are read in splits; a line's number is its place within the split plus the lines of the splits before it.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    rows = cut(raw)  # ids depend on the splits
+    before = rows.groupBy("f", "b").agg(F.count("*").alias("n"), F.min("i").alias("first")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a split
+    told = rows.join(F.broadcast(before.select("f", "b", "first", "before")), ["f", "b"]).select((F.col("i") - F.col("first") + F.col("before") + 1).alias("line_no"), F.trim(F.regexp_replace("value", "^﻿|\r$", "")).alias("value"))
+    return told.where((F.col("value") != "") & ~F.startswith("value", F.lit("#")))
 
 
 def urls(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -67,6 +85,23 @@ def urls(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return good, rows.where(~absolute_http("value"))
 
 
+def strict_urls(spark: SparkSession, path: str) -> DataFrame:
+    """As urls(), but lines that are no address are an error that names the first five with their numbers."""
+    good, bad = urls(spark, path)
+    if wrong := [f"line {r['line_no']}: {r['value']}" for r in bad.orderBy("line_no").limit(5).collect()]:
+        raise ValueError(f"{path} holds lines that are no address: {wrong}")
+    return good
+
+
+def proxies(spark: SparkSession, path: str) -> DataFrame:
+    """A list of proxies, each once (proxy, line_no), http:// where a line names no scheme; an empty list is an error."""
+    rows = lines(spark, path).select(F.when(F.col("value").rlike("^[a-z0-9]+://"), F.col("value")).otherwise(F.concat(F.lit("http://"), "value")).alias("proxy"), "line_no")
+    out = rows.groupBy("proxy").agg(F.min("line_no").alias("line_no"))
+    if not out.take(1):
+        raise ValueError(f"{path} names no proxy")
+    return out
+
+
 def tsv(spark: SparkSession, path: str, columns: list[str], kinds: dict[str, str] | None = None) -> DataFrame:
     """A TSV file whose header must equal the columns; an empty cell is null; kinds (``bigint``, ``double``, ``flag`` for 0/1) are cast strictly."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -79,8 +114,45 @@ def tsv(spark: SparkSession, path: str, columns: list[str], kinds: dict[str, str
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Rows of (gzip) JSON Lines under a schema, and the lines that are no object of it."""
     wide = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in schema), T.StructField("_corrupt", T.StringType())])
-    df = spark.read.schema(wide).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt").cache()  # Spark forbids reading the corrupt column alone
-    return df.where("_corrupt IS NULL").drop("_corrupt"), df.where("_corrupt IS NOT NULL").select("_corrupt")
+    df = spark.read.text(path).where(F.trim("value") != "").select("value", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("x"))
+    bad = F.col("x").isNull() | F.col("x._corrupt").isNotNull() | ~F.startswith(F.ltrim("value"), F.lit("{"))
+    return df.where(~bad).select(*(F.col("x")[f.name].alias(f.name) for f in schema)), df.where(bad).select(F.col("value").alias("_corrupt"))
+
+
+def ordered_json_lines(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """Rows of JSON Lines that must all be readable and stand in strictly rising order of the keys; breaks are an error that names five lines."""
+    text = lines(spark, path)
+    rows = text.select("line_no", F.from_json("value", schema).alias("x"), F.startswith("value", F.lit("{")).alias("__object"))
+    pairs = with_previous(rows.select("line_no", "__object", F.struct(*(F.col("x")[k].alias(k) for k in keys)).alias("k")), [], [F.col("line_no")], F.col("k"), "before")
+    bad = pairs.where(~F.col("__object") | F.greatest(*(F.col("k")[k].isNull() for k in keys), F.lit(False)) | (F.col("k") <= F.col("before"))).orderBy("line_no").limit(5).collect()
+    if bad:
+        raise ValueError(f"{path} breaks its order at lines {[r['line_no'] for r in bad]}")
+    return rows.select("x.*")
+
+
+def json_object(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A (gzip) file that is one JSON object, as a row; anything else is an error."""
+    df = spark.read.text(path, wholetext=True)
+    made = F.when(F.trim("value").rlike(r"(?s)^\{.*\}$"), F.from_json("value", schema))
+    return df.select(F.when(made.isNull(), F.raise_error(F.lit(f"{path} is no object")).cast("string")).alias("__e"), made.alias("x")).where("__e IS NULL").select("x.*")
+
+
+def work_order(df: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
+    """Rows in an order that is random, but the same for one seed whatever the partitions."""
+    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
+
+
+def download_manifest(results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of download results (filename, url, ok) the manifest of what came (filename, url, once each, by name) and the addresses of which nothing ever did."""
+    good = results.where("ok").groupBy("filename").agg(F.min("url").alias("url")).orderBy("filename")
+    tried = results.groupBy("url").agg(F.max(F.coalesce("ok", F.lit(False))).alias("__ok"))
+    return good, tried.where(~F.col("__ok")).select("url").orderBy("url")
+
+
+def tree_count(pages: DataFrame, group: list[str], cached: str) -> DataFrame:
+    """Pages by group with how many came from the cache and how many had to be requested: group, pages, cache_hits, requests."""
+    hit = F.coalesce(F.col(cached), F.lit(False)).cast("bigint")
+    return pages.groupBy(*group).agg(F.count("*").alias("pages"), F.sum(hit).alias("cache_hits"), F.sum(1 - hit).alias("requests"))
 
 
 def envelopes(spark: SparkSession, path: str, record: str) -> DataFrame:
@@ -115,9 +187,7 @@ def review_folders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     First: anime_id, slug, pages (sorted numbers), missing (numbers between 1 and the last that are not there), bytes.
     Second: path with reason bad_folder, bad_page or repeated_id.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root, _ = _base(spark, folder)
     folders = spark.createDataFrame([(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(root)], "name string, is_folder boolean")
     named = folders.withColumn("anime_id", F.regexp_extract("name", r"^[A-Za-z]?(\d+)-.+$", 1).try_cast("bigint"))
     again = named.where("is_folder AND anime_id IS NOT NULL").groupBy("anime_id").agg(F.collect_list("name").alias("n")).where(F.size("n") > 1)

@@ -74,3 +74,54 @@ def test_first_pages_only(spark, tmp_path):
         (tmp_path / f"{n}.html").write_text(n)
     assert [r["source_file"] for r in files.pages(spark, str(tmp_path), limit=2).orderBy("source_file").collect()] == ["a.html", "b.html"]
     assert files.pages(spark, str(tmp_path)).where(F.col("sha256").isNull()).count() == 0
+
+
+def test_strict_sources(spark, tmp_path, rows):
+    (tmp_path / "u.txt").write_text("https://h/a\n\nnope\nhttps://h/a\n")
+    with pytest.raises(ValueError, match="line 3: nope"):
+        files.strict_urls(spark, str(tmp_path / "u.txt"))
+    (tmp_path / "p.txt").write_text("# x\r\n1.2.3.4:80\r\nsocks5://h:1\n1.2.3.4:80\n")
+    assert rows(files.proxies(spark, str(tmp_path / "p.txt"))) == {("http://1.2.3.4:80", 2), ("socks5://h:1", 3)}
+    (tmp_path / "none.txt").write_text("#\n")
+    with pytest.raises(ValueError, match="no proxy"):
+        files.proxies(spark, str(tmp_path / "none.txt"))
+    for name, body, ok in (("a", '{"id":1,"p":1}\n{"id":1,"p":2}\n{"id":3,"p":1}\n', True), ("b", '{"id":1,"p":1}\n{"id":1,"p":1}\n', False), ("c", '{"id":1,"p":1}\n[2]\n', False), ("d", '{"id":2,"p":1}\n{"p":1}\n', False)):
+        with gzip.open(tmp_path / f"{name}.jsonl.gz", "wt") as f:
+            f.write(body)
+        read = lambda n=name: files.ordered_json_lines(spark, str(tmp_path / f"{n}.jsonl.gz"), spark.createDataFrame([], "id int, p int").schema, ["id", "p"])
+        if ok:
+            assert rows(read()) == {(1, 1), (1, 2), (3, 1)}
+        else:
+            with pytest.raises(ValueError, match=r"lines \[2\]"):
+                read()
+    for name, body in (("o", '{"a": 1}'), ("l", "[1]")):
+        with gzip.open(tmp_path / f"{name}.json.gz", "wt") as f:
+            f.write(body)
+    assert rows(files.json_object(spark, str(tmp_path / "o.json.gz"), "a int")) == {(1,)}
+    with pytest.raises(Exception, match="is no object"):
+        files.json_object(spark, str(tmp_path / "l.json.gz"), "a int").collect()
+
+
+def test_lines_of_many_splits(spark, tmp_path):
+    (tmp_path / "big.txt").write_text("".join(f"v{i}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = files.lines(spark, str(tmp_path / "big.txt"))
+        assert got.where(F.col("value") != F.concat(F.lit("v"), (F.col("line_no") - 1).cast("string"))).count() == 0 and got.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_downloads(spark, rows):
+    r = spark.createDataFrame([("b", "u2", True), ("a", "u1", False), ("a", "u1", True), ("c", "u3", False), ("d", "u4", None)], "filename string, url string, ok boolean")
+    good, failed = files.download_manifest(r)
+    assert [tuple(x) for x in good.collect()] == [("a", "u1"), ("b", "u2")] and [x[0] for x in failed.collect()] == ["u3", "u4"]
+    assert [x["url"] for x in files.work_order(r, ["url"]).collect()] == [x["url"] for x in files.work_order(r.repartition(3), ["url"]).collect()]
+    assert rows(files.tree_count(r, ["url"], "ok")) == {("u1", 2, 1, 1), ("u2", 1, 1, 0), ("u3", 1, 0, 1), ("u4", 1, 0, 1)}
+
+
+def test_names_with_odd_letters(spark, tmp_path, rows):
+    for n in ("a b+c%20.html", "имя.html"):
+        (tmp_path / n).write_text("x")
+    assert rows(files.listing(spark, str(tmp_path)).select("path", "length")) == {("a b+c%20.html", 1), ("имя.html", 1)} == rows(files.pages(spark, str(tmp_path)).select("source_file", "length"))

@@ -269,3 +269,30 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert go() == [0] and go() == []
     df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     assert go() == [1] and spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+@pytest.mark.parametrize("plain", [0, order.PLAIN_BYTES])
+def test_places_and_neighbours_both_ways(spark, rows, monkeypatch, plain):
+    monkeypatch.setattr(order, "PLAIN_BYTES", plain)
+    rng = random.Random(5)
+    data = [(rng.choice([1, 1, 1, 2, None]), i, rng.randrange(9)) for i in range(300)]
+    df = spark.createDataFrame(data, "g int, i int, v int")
+    want = {}
+    for g in (1, 2, None):
+        own = sorted(i for x, i, _ in data if x == g)
+        want |= {i: (n + 1, own[n - 1] if n else None) for n, i in enumerate(own)}
+    assert {(r["i"], r["p"]) for r in order.placed(df, ["g"], [F.col("i")], "p").collect()} == {(i, p) for i, (p, _) in want.items()}
+    assert {(r["i"], r["b"]) for r in order.with_previous(df, ["g"], [F.col("i")], F.col("i"), "b").collect()} == {(i, b) for i, (_, b) in want.items()}
+    pages = spark.createDataFrame([(1, 1, [5]), (1, 2, [5]), (1, 3, [6]), (2, 1, [1]), (2, 2, []), (3, 1, [2])], "g int, p int, c array<int>")
+    assert rows(rank.stops(pages, ["g"], "p", "c")) == {(1, 2), (2, 2)}
+    assert rows(stats.missing_numbers(spark.createDataFrame([(1, 2), (1, 5), (1, 5), (2, 1), (2, None), (3, 1_000_000_000), (3, 999_999_999)], "g int, n int").where("g < 3"), ["g"], "n")) == {(1, (1, 3, 4))}
+
+
+def test_strict_part_merge(spark):
+    a = spark.createDataFrame([(1, 0, "n", ("x", None)), (2, 1, "m", ("y", 1)), (3, 2, "k", None)], "id int, o int, name string, s struct<a: string, b: int>")
+    b = spark.createDataFrame([(1, 0, ("x", 7)), (2, 1, ("z", 2)), (4, 2, (None, None))], "id int, o int, s struct<a: string, c: int>")
+    c = spark.createDataFrame([(1, 0, 5), (2, 2, 6), (2, 3, 6), (3, 2, 7)], "id int, o int, score int")
+    got = {r["id"]: r.asDict(recursive=True) for r in match.strict_part_merge({"a": a, "b": b, "c": c}, "id", "o").collect()}
+    assert got[1] == {"id": 1, "name": "n", "s": {"a": "x", "b": None, "c": 7}, "score": 5, "problems": []}
+    assert sorted(got[2]["problems"]) == ["differs:s.a", "order:c", "repeated:c"] and sorted(got[3]["problems"]) == ["missing:b"] and sorted(got[4]["problems"]) == ["missing:a", "missing:c"]
+    assert got[3]["s"] is None
