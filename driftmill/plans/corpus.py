@@ -474,14 +474,13 @@ def greedy_batches(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT user_id, epoch_us(max(ts)) AS latest, count(*) AS versions FROM events GROUP BY 1")
 def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Latest event of each user, computed by a stream over the event file."""
-    from driftmill.streaming.ingest import latest_pages
+    from driftmill.streaming.ingest import keep_latest
 
     base = _folder(spark)
     events = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     events.write.parquet(f"{base}/landed")
-    q = latest_pages(spark.readStream.schema(events.schema).parquet(f"{base}/landed"), "user_id", "ts").writeStream.outputMode("complete").option("checkpointLocation", f"{base}/checkpoint").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{base}/out")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("user_id", F.unix_micros("ts").alias("latest"), "versions")
+    out = keep_latest(spark, f"{base}/landed", events.schema, f"{base}/out", f"{base}/checkpoint", "user_id", "ts")
+    return out.select("user_id", F.unix_micros("ts").alias("latest"), "versions")
 
 
 @query("SELECT record_id, CAST(floor(e) AS BIGINT) AS seconds FROM (SELECT record_id, epoch(try_cast(regexp_replace(createdat, '([+-]\\d{2})(\\d{2})$', '\\1:\\2') AS TIMESTAMPTZ)) AS e FROM animes WHERE regexp_matches(createdat, '(Z|[+-]\\d{2}:?\\d{2})$'))")

@@ -240,10 +240,10 @@ def test_publication(spark, tmp_path, rows):
     other = spark.createDataFrame([(3, "c")], "id bigint, v string")
     with pytest.raises(FileExistsError):
         pub.publish(other, path, ["id"])
-    assert pub.publish(other, path, ["id"], force=True)["rows"] == 1 and rows(spark.read.parquet(path)) == {(3, "c")}
+    assert pub.publish(other, path, ["id"], force=True)["rows"] == 1 and rows(pub.read(spark, path)) == {(3, "c")}
     with pytest.raises(ValueError, match="repeated keys"):
         pub.publish(other.union(other), path, ["id"], force=True)
-    assert rows(spark.read.parquet(path)) == {(3, "c")}  # the earlier table stays
+    assert rows(pub.read(spark, path)) == {(3, "c")}  # the earlier table stays
     assert pub.append_batch(other, str(tmp_path / "b"), "1") == "appended" and pub.append_batch(other, str(tmp_path / "b"), "1") == "already_present"
     sizes = spark.createDataFrame([(i, s) for i, s in enumerate((5, 5, 5, 99, 1))], "id int, s int").coalesce(1)
     b = pub.greedy_batches(sizes, ["id"], "s", 2, 10).groupBy("batch").agg(F.count("*").alias("n"), F.sum("s").alias("s"))
