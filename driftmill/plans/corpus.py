@@ -193,6 +193,12 @@ def anti_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return match.only_left(table(spark, sf, "reviews").select("review_id", "anime_id"), table(spark, sf, "animes").select(F.col("id").alias("anime_id")), "anime_id").select("review_id", "anime_id")
 
 
+@query("SELECT record_id, id FROM animes a WHERE a.id IS NULL OR NOT EXISTS (SELECT 1 FROM anime_pages p WHERE p.entry_id = a.id)")
+def anti_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of entities without a page."""
+    return match.only_left(table(spark, sf, "animes").select("record_id", "id"), table(spark, sf, "anime_pages").select(F.col("entry_id").alias("id")).where("id IS NOT NULL"), "id").select("record_id", "id")
+
+
 @query("""WITH u AS (SELECT anime_url AS url, anime_id AS v, 'reviews' AS s FROM reviews UNION ALL SELECT url, id, 'animes' FROM animes UNION ALL SELECT canonical_url, entry_id, 'pages' FROM anime_pages)
 SELECT url, min(v) AS id, list_sort(list(DISTINCT s)) AS sources, count(DISTINCT v) > 1 AS conflict FROM u GROUP BY 1""")
 def merged_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -234,6 +240,25 @@ def redirect_audit(spark: SparkSession, sf: str) -> DataFrame:
     return match.redirects(table(spark, sf, "anime_pages"), "source_requested_id", "redirect_id")
 
 
+@query("""WITH t AS (SELECT source_requested_id AS id, min(canonical_url || ' ' || source_file) AS c FROM anime_pages WHERE source_requested_id IS NOT NULL GROUP BY 1)
+SELECT source_requested_id, redirect_id, t.id IS NOT NULL AS target_present, coalesce(contains(t.c, source_requested_id), false) AS mentions_source FROM anime_pages p LEFT JOIN t ON p.redirect_id = t.id WHERE coalesce(redirect_id, '') <> ''""")
+def redirect_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    """As redirect_audit, and whether the target's content names the page."""
+    pages = table(spark, sf, "anime_pages").withColumn("content", F.concat("canonical_url", F.lit(" "), "source_file"))
+    return match.redirects(pages, "source_requested_id", "redirect_id", "content")
+
+
+@query("""WITH c AS (SELECT c_custkey AS id, row_number() OVER (ORDER BY c_custkey) AS o, c_nationkey AS n, c_acctbal AS b FROM customer), s AS (SELECT s_suppkey AS id, row_number() OVER (ORDER BY s_suppkey) AS o, s_nationkey AS n FROM supplier)
+SELECT id, c.b AS balance, coalesce(c.n, s.n) AS nation, list_filter([CASE WHEN c.id IS NULL THEN 'missing:a' END, CASE WHEN s.id IS NULL THEN 'missing:b' END, CASE WHEN c.o <> s.o THEN 'order:b' END, CASE WHEN c.n <> s.n THEN 'differs:place.nation' END], lambda x: x IS NOT NULL) AS problems FROM c FULL JOIN s USING (id)""")
+def strict_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts that must hold the same ids in the same order, with a nested object merged field by field."""
+    from driftmill.operators.order import placed
+
+    a = placed(table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.struct(F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance")).alias("place")), [], [F.col("id")], "o")
+    b = placed(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.struct(F.col("s_nationkey").alias("nation")).alias("place")), [], [F.col("id")], "o")
+    return match.strict_part_merge({"a": a, "b": b}, "id", "o").select("id", F.col("place.balance").alias("balance"), F.col("place.nation").alias("nation"), "problems")
+
+
 @query("SELECT r.review_id, r.anime_id, a.name FROM reviews r LEFT JOIN (SELECT id, max_by(name, record_id) AS name FROM animes GROUP BY 1) a ON a.id = r.anime_id")
 def enrichment(spark: SparkSession, sf: str) -> DataFrame:
     names = table(spark, sf, "animes").where("id IS NOT NULL").groupBy(F.col("id").alias("anime_id")).agg(F.max_by("name", "record_id").alias("name"))
@@ -296,6 +321,13 @@ def compact_json_shape(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "animes").where("genres IS NOT NULL").select("record_id", F.when(c != "", "x").otherwise(c).alias("shape"))
 
 
+@query("""WITH j AS (SELECT record_id, try_cast(genres AS JSON) AS j FROM animes WHERE genres IS NOT NULL), k AS (SELECT record_id, j, CASE WHEN json_type(j) = 'ARRAY' THEN CAST(j AS JSON[]) END AS list FROM j)
+SELECT record_id, CASE WHEN j IS NULL THEN NULL WHEN CAST(j AS VARCHAR) IN ('null', '[]', '{}') THEN '' ELSE '[' || array_to_string(list_transform(list, lambda o: '{' || array_to_string(list_transform(list_sort(json_keys(o)), lambda f: '"' || f || '":' || CAST(json_extract(o, '$."' || f || '"') AS VARCHAR)), ',') || '}'), ',') || ']' END AS compact FROM k""")
+def compact_json_text(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON in its compact form: sorted keys, no spaces, blank for what is empty."""
+    return table(spark, sf, "animes").where("genres IS NOT NULL").select("record_id", text.compact_json("genres").alias("compact"))
+
+
 @query("SELECT source_id, source_file, list_sort(CAST(json_extract_string(try_cast(tags AS JSON), '$[*].alias') AS VARCHAR[])) AS tags FROM news WHERE try_cast(tags AS JSON) IS NOT NULL")
 def joined_labels(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "news").where("tags IS NOT NULL").select("source_id", "source_file", F.array_sort(F.transform(F.from_json("tags", "array<struct<alias: string>>"), lambda x: x["alias"])).alias("tags"))
@@ -448,6 +480,36 @@ def staged_publish(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(first["rows"], first["status"], second["status"])], "rows bigint, first string, second string")
 
 
+@query("SELECT doc_id, source, n_chars FROM documents")
+def published_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents published in three parts, after a run that died with two of them written; read from the current version."""
+    from driftmill.plans import publish as pub
+
+    path, df = _folder(spark), table(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    folder, _ = pub.stage(df, path, ["doc_id"], "documents", 3)
+    pub.Store(spark, path).delete(f"{folder}/part=1")  # as if it had died there
+    told = pub.publish(df, path, ["doc_id"], source="documents", parts=3)
+    if told["resumed_parts"] != 2 or pub.publish(df, path, ["doc_id"])["status"] != "already_present" or pub.verify(spark, path):
+        raise ValueError(f"the stage wasn't resumed or isn't sound: {told}")
+    return pub.read(spark, path)
+
+
+@query("SELECT review_id, anime_id, source_page, source_position FROM reviews")
+def ingested_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews that land in two slices, each followed by a run of the stream, then by one that finds nothing; every row once."""
+    from driftmill.streaming.ingest import ingest
+
+    base, source = _folder(spark), table(spark, sf, "reviews").select("review_id", "anime_id", "source_page", "source_position")
+    run = lambda: ingest(spark, f"{base}/landed", source.schema, f"{base}/target", f"{base}/checkpoint")
+    late = F.col("review_id") > source.agg(F.expr("percentile_approx(review_id, 0.7)")).first()[0]
+    for part in (~late, late):
+        source.where(F.coalesce(part, F.lit(False)) if part is late else F.coalesce(part, F.lit(True))).write.mode("append").parquet(f"{base}/landed")
+        run()
+    if run():
+        raise ValueError("a run without new files wrote a batch")
+    return spark.read.parquet(f"{base}/target").select(*source.columns)
+
+
 @query("SELECT count(*) AS rows, true AS once FROM reviews")
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """The review table ingested as a stream, twice from one checkpoint: the second run finds nothing new."""
@@ -471,6 +533,17 @@ def greedy_batches(spark: SparkSession, sf: str) -> DataFrame:
     return per.agg(F.sum("n").alias("rows"), F.sum("s").alias("bytes"), F.bool_and((F.col("n") <= 500) & ((F.col("s") <= 64 << 20) | (F.col("n") == 1))).alias("within"))
 
 
+@query("""WITH RECURSIVE o AS (SELECT doc_id, n_chars AS b, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
+t AS (SELECT i, doc_id, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS n, CAST(b AS BIGINT) AS used FROM o WHERE i = 1
+  UNION ALL SELECT o.i, o.doc_id, CASE WHEN t.n >= 50 OR t.used + o.b > 60000 THEN t.batch + 1 ELSE t.batch END, CASE WHEN t.n >= 50 OR t.used + o.b > 60000 THEN 1 ELSE t.n + 1 END, CASE WHEN t.n >= 50 OR t.used + o.b > 60000 THEN o.b ELSE t.used + o.b END FROM t JOIN o ON o.i = t.i + 1)
+SELECT doc_id, batch FROM t""")
+def greedy_batch_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch of every document, of at most 50 rows and 60,000 characters, in order of their ids."""
+    from driftmill.plans.publish import greedy_batches as batches
+
+    return batches(table(spark, sf, "documents").select("doc_id", "n_chars"), ["doc_id"], "n_chars", 50, 60_000).select("doc_id", "batch")
+
+
 @query("SELECT user_id, epoch_us(max(ts)) AS latest, count(*) AS versions FROM events GROUP BY 1")
 def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Latest event of each user, computed by a stream over the event file."""
