@@ -8,7 +8,8 @@ decides exactly.
 
 The test side is broadcast only while it has at most INDEX_LIMIT kept hashes, so that a hit is extended where the text is
 read and the corpus isn't shuffled at all. Beyond it, kept hashes of both sides meet in a shuffle join on the hash, with
-hot hashes salted, and only documents with a hit are read again.
+hot hashes salted, which says only which hashes, texts and items met at all; no pairs are made. The texts that met are then
+read again, once for every block of the items that met, of at most INDEX_LIMIT words, each block broadcast in turn.
 
 Every item whose stretch is long enough is found, also where another item agrees with the same words better; leaks with
 best keeps only the items that a stretch is credited to.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from driftmill.session import cut, spread
+from driftmill.session import broadcast_if_small, cut, join_hot, spread
 
 #: Words of a hash, hashes of a window, words that a shared stretch must have, and words for each that may be changed or missing.
 K, W, MIN_WORDS, PER_ERROR = 4, 2, 14, 8
@@ -178,8 +179,8 @@ class Index:
         order = np.argsort(values, kind="stable")
         self.values, self.item, self.place = values[order], item[order], place[order]
 
-    def search(self, texts: list[str | None], known: dict[str, int], best: bool = True) -> list[tuple[int, int]]:
-        """(number of the text, item id) of every text that holds a passage of an item. best: only items that a stretch is credited to."""
+    def held(self, texts: list[str | None], known: dict[str, int]) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
+        """(number of the text, stretches) of every text that holds a passage; a stretch is (number of the item, words that agree, begin, end)."""
         split = [words(t) if t else [] for t in texts]
         sizes = np.array([len(w) for w in split], np.int64)
         hashes = np.array([word_hash(w, known) for ws in split for w in ws], np.uint64)
@@ -197,18 +198,22 @@ class Index:
                 found.setdefault((t, int(self.item[x])), []).append((int(at[h] - first[t]), int(self.place[x])))
         by_text: dict[int, list[tuple[int, int, int, int]]] = {}
         for (t, i), hits in found.items():
-            if held := stretches(split[t], self.words[i], hits):
-                by_text.setdefault(t, []).extend((i, *s) for s in held)
-        return [(t, self.ids[i]) for t, held in by_text.items() for i in sorted(credited(held) if best else {i for i, *_ in held})]
+            if told := stretches(split[t], self.words[i], hits):
+                by_text.setdefault(t, []).extend((i, *s) for s in told)
+        return list(by_text.items())
+
+    def search(self, texts: list[str | None], known: dict[str, int], best: bool = True) -> list[tuple[int, int]]:
+        """(number of the text, item id) of every text that holds a passage of an item. best: only items that a stretch is credited to."""
+        return [(t, self.ids[i]) for t, told in self.held(texts, known) for i in sorted(credited(told) if best else {i for i, *_ in told})]
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", limit: int = INDEX_LIMIT, best: bool = False) -> DataFrame:
-    """Documents that hold a passage of a test item: columns doc, item. best: a stretch counts only for the item it agrees with in the most words."""
+def leaks(documents: DataFrame, benchmark: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", limit: int = INDEX_LIMIT, best: bool = False, block: int = INDEX_LIMIT) -> DataFrame:
+    """Documents that hold a passage of a test item: columns doc, item. best: a stretch counts only for the item it agrees with in the most words. limit: words of the test side up to which it is broadcast whole; block: words of a block beyond that."""
     items = benchmark.where(F.length(text) > 0).select(item, text)
     size = items.agg(F.coalesce(F.sum(F.size(F.split(text, r"\s+"))), F.lit(0)).alias("n")).first()["n"]
     if size <= limit:
         return _leaks_near(spread(documents.select(doc, text)), items, doc, item, text, best)
-    return _leaks_far(documents.select(doc, text), items, doc, item, text, best)
+    return _leaks_far(documents.select(doc, text), items, doc, item, text, best, block)
 
 
 def _types(df: DataFrame, *columns: str) -> str:
@@ -244,22 +249,36 @@ def _prints(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.where(F.length(text) > 0).select(key, text).mapInArrow(run, f"{_types(df, key)}, print bigint, place int")
 
 
-def _leaks_far(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str, best: bool) -> DataFrame:
-    theirs = _prints(items, item, text).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("place", "there")
-    ours = _prints(documents, doc, text).withColumn("salt", F.pmod(F.xxhash64(doc, "place"), F.lit(SALTS)).cast("int"))
-    pairs = cut(ours.join(theirs, ["print", "salt"]).groupBy(doc, item).agg(F.collect_set(F.struct("place", "there")).alias("hits")))
-    full = pairs.join(documents, doc).join(items.select(item, F.col(text).alias("__item")), item)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [(i, *s) for i, r in enumerate(batch.to_pylist()) for s in stretches(words(r[text]), words(r["__item"]), [(h["place"], h["there"]) for h in r["hits"]])]
-            rows = batch.select([doc, item]).take(pa.array([x[0] for x in out], pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, *(pa.array([x[i] for x in out], pa.int32()) for i in (1, 2, 3))], names=[doc, item, "n", "lo", "hi"])
-
-    held = full.select(doc, item, text, "__item", "hits").mapInArrow(run, _types(full, doc, item) + ", n int, lo int, hi int")
+def _leaks_far(documents: DataFrame, items: DataFrame, doc: str, item: str, text: str, best: bool, block: int) -> DataFrame:
+    documents = documents.where(F.length(text) > 0).withColumn("__text", F.xxhash64(text))  # texts that share a hash are only read for nothing
+    theirs = cut(_prints(items, item, text).select(item, "print").distinct())
+    wanted = theirs.select("print").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    ours = _prints(documents, "__text", text).select("__text", "print").withColumn("salt", F.pmod("__text", F.lit(SALTS)).cast("int"))
+    met = cut(ours.join(wanted, ["print", "salt"], "left_semi").distinct())
+    texts = join_hot(documents, met.select("__text").distinct(), "__text", "left_semi")
+    known = items.join(broadcast_if_small(theirs.join(broadcast_if_small(met.select("print").distinct()), "print", "left_semi").select(item).distinct()), item, "left_semi").withColumn("__words", F.size(F.split(text, r"\s+")))
+    texts, known = cut(texts), cut(known)
+    blocks = max(1, -(-(known.agg(F.sum("__words")).first()[0] or 0) // block))
+    number = F.pmod(F.xxhash64(item, text), F.lit(blocks))
+    kind = to_arrow_type(items.schema[item].dataType)
+    held = None
+    for b in range(blocks):
+        shared = documents.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in known.where(number == b).select(item, text).collect()])  # about block words
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index, hashes = Index(shared.value), {}
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 512):
+                    part = batch.slice(lo, 512)
+                    rows = [(t, index.ids[i], n, a, z) for t, told in index.held(part.column(2).to_pylist(), hashes) for i, n, a, z in told]
+                    take = pa.array([r[0] for r in rows], pa.int64())
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array([r[1] for r in rows], kind), *(pa.array([r[k] for r in rows], pa.int32()) for k in (2, 3, 4))], names=[doc, "__text", item, "n", "lo", "hi"])
+
+        one = texts.select(doc, "__text", text).mapInArrow(run, _types(texts, doc, "__text") + f", {_types(items, item)}, n int, lo int, hi int")
+        held = one if held is None else held.unionByName(one)
     if not best:
         return held.select(doc, item).distinct()
-    lists = held.groupBy(doc).agg(F.collect_list(F.struct(F.col(item).alias("i"), "n", "lo", "hi")).alias("s"))
+    lists = held.distinct().groupBy(doc, "__text").agg(F.collect_list(F.struct(F.col(item).alias("i"), "n", "lo", "hi")).alias("s"))  # the stretches of one text
     inside = lambda x, y: 2 * (F.least(x.hi, y.hi) - F.greatest(x.lo, y.lo)) >= x.hi - x.lo
     first = F.filter("s", lambda x: ~F.exists("s", lambda y: (y.i != x.i) & (y.n > x.n) & inside(x, y)))
     return lists.select(doc, F.explode(first).alias("x")).select(doc, F.col("x.i").alias(item)).distinct()

@@ -83,6 +83,18 @@ def test_every_item_of_a_shared_stretch_is_found(spark, rows, far):
     assert rows(winnow.leaks(d, bench, limit=limit, best=True)) == {(0, 1)}
 
 
+def test_far_in_blocks_with_hot_wording(spark, rows):
+    """A third of all texts share one item, keys repeat and are null, and items come in blocks of a few words."""
+    rng = random.Random(12)
+    items = [(i, text_of(rng, 30)) for i in range(9)]
+    docs = [(None if d % 5 == 0 else d % 7, " ".join([*text_of(rng, 8), *items[0 if d % 3 == 0 else rng.randrange(9)][1][: rng.choice([13, 20])], *text_of(rng, 8)])) for d in range(60)]
+    d = spark.createDataFrame(docs, "doc_id int, text string")
+    bench = spark.createDataFrame([(f"k{i}", " ".join(w)) for i, w in items], "item_id string, text string")
+    for best in (False, True):
+        near = rows(winnow.leaks(d, bench, best=best))
+        assert near and rows(winnow.leaks(d, bench, best=best, limit=0, block=40)) == near
+
+
 def test_words():
     assert winnow.words("Приве́т, МИР №12 [3] <b>a_b</b> ***") == winnow.words("привeт мир 12 a b")
     assert winnow.words(unicodedata.normalize("NFD", "йёй")) == winnow.words("йёй")
