@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SHAPE = r"^(\d{4}-\d{2}-\d{2})[Tt ](\d{2}:\d{2}:\d{2})([.,]\d{1,9})?\s?(?:([Zz]|UTC|GMT)|([+-])(\d{2}):?(\d{2})?)$"
+_SHAPE = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(?:[.,]\d{1,9})?\s?(?:[Zz]|UTC|GMT|[+-]\d{2}(?::?\d{2})?)$"
 
 
 def zoned_micros(text: Column) -> Column:
@@ -15,13 +15,14 @@ def zoned_micros(text: Column) -> Column:
     with or without colon and minutes. The offset is applied as arithmetic, so the session's time zone has no part in it.
     """
     t = F.trim(text)
-    part = lambda i: F.regexp_extract(t, _SHAPE, i)
-    day = F.try_to_date(F.nullif(part(1), F.lit("")), "yyyy-MM-dd")
-    number = lambda x: F.expr("0") if x is None else F.coalesce(x.try_cast("bigint"), F.lit(0))
-    hms = part(2)
-    hour, minute, second = (number(F.substring(hms, i, 2)) for i in (1, 4, 7))
-    fraction = number(F.rpad(F.substring(part(3), 2, 6), 6, "0"))
-    oh, om = number(part(6)), number(part(7))
-    offset = F.when(part(5) == "-", -(oh * 60 + om)).otherwise(oh * 60 + om)
+    number = lambda x: F.coalesce(x.try_cast("bigint"), F.lit(0))
+    digits = lambda i, n: number(F.substring(t, i, n))
+    # a text of that shape has its date and time at fixed places; fraction and offset are what varies
+    day = F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd")
+    hour, minute, second = digits(12, 2), digits(15, 2), digits(18, 2)
+    fraction = F.when(F.substring(t, 20, 1).isin(".", ","), number(F.rpad(F.regexp_extract(F.substring(t, 21, 6), r"^\d+", 0), 6, "0"))).otherwise(0)
+    zone = F.replace(F.regexp_extract(t, r"[+-]\d{2}:?(?:\d{2})?$", 0), F.lit(":"))
+    oh, om = number(F.substring(zone, 2, 2)), number(F.substring(zone, 4, 2))
+    offset = F.when(zone.startswith("-"), -(oh * 60 + om)).otherwise(oh * 60 + om)
     seconds = F.unix_date(day).cast("bigint") * 86400 + hour * 3600 + (minute - offset) * 60 + second
     return F.when(t.rlike(_SHAPE) & (hour <= 23) & (minute <= 59) & (second <= 59) & (oh <= 18) & (om <= 59), seconds * 1_000_000 + fraction)

@@ -194,6 +194,10 @@ class Shredder:
         return out
 
 
+#: Records whose rows make one batch.
+RECORDS = 512
+
+
 def nested_rows(df: DataFrame, layouts: dict[str, Layout], *keep: str) -> DataFrame:
     """All flat rows of all tables: the kept columns, then source, table, ordinals, keys, attributes.
 
@@ -207,23 +211,23 @@ def nested_rows(df: DataFrame, layouts: dict[str, Layout], *keep: str) -> DataFr
 
     def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shredders = {c: Shredder(layout) for c, layout in layouts.items()}
-        for batch in batches:
-            index, source, tables, ordinals, chains, attributes = [], [], [], [], [], []
-            for name, shredder in shredders.items():
-                for i, text in enumerate(batch.column(columns.index(name)).to_pylist()):
-                    for table, at, chain, row in shredder.rows(text):
-                        index.append(i)
-                        source.append(name)
-                        tables.append(table)
-                        ordinals.append(at)
-                        chains.append(chain)
-                        attributes.append(list(row.items()))
-            take = pa.array(index, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).take(take) for i in range(len(keep))]
-                + [pa.array(source, pa.string()), pa.array(tables, pa.string()), pa.array(ordinals, pa.list_(pa.int32())), pa.array(chains, pa.list_(pa.string())), pa.array(attributes, pa.map_(pa.string(), pa.string()))],
-                names=[*keep, "source", "table", "ordinals", "keys", "attributes"],
-            )
+        names = [*keep, "source", "table", "ordinals", "keys", "attributes"]
+        for whole in batches:
+            for lo in range(0, whole.num_rows, RECORDS):  # a record may give a hundred rows and more
+                batch = whole.slice(lo, RECORDS)
+                index, source, tables, ordinals, chains, attributes = [], [], [], [], [], []
+                for name, shredder in shredders.items():
+                    for i, text in enumerate(batch.column(columns.index(name)).to_pylist()):
+                        for table, at, chain, row in shredder.rows(text):
+                            index.append(i)
+                            source.append(name)
+                            tables.append(table)
+                            ordinals.append(at)
+                            chains.append(chain)
+                            attributes.append(list(row.items()))
+                take = pa.array(index, pa.int32())
+                made = [pa.array(source, pa.string()), pa.array(tables, pa.string()), pa.array(ordinals, pa.list_(pa.int32())), pa.array(chains, pa.list_(pa.string())), pa.array(attributes, pa.map_(pa.string(), pa.string()))]
+                yield pa.RecordBatch.from_arrays([batch.column(i).take(take) for i in range(len(keep))] + made, names=names)
 
     return df.select(*(F.col(c) for c in keep), *(F.col(c).cast("string").alias(c) for c in layouts)).mapInArrow(shred, schema)
 

@@ -125,3 +125,112 @@ def test_names_with_odd_letters(spark, tmp_path, rows):
     for n in ("a b+c%20.html", "имя.html"):
         (tmp_path / n).write_text("x")
     assert rows(files.listing(spark, str(tmp_path)).select("path", "length")) == {("a b+c%20.html", 1), ("имя.html", 1)} == rows(files.pages(spark, str(tmp_path)).select("source_file", "length"))
+
+
+def test_publication_of_versions(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    df = spark.range(100).select("id", F.lit("x").alias("v"))
+    assert pub.manifest(spark, path) is None and pub.verify(spark, path) == ["no manifest"]
+    with pytest.raises(FileNotFoundError):
+        pub.read(spark, path)
+    # a run dies before its version is current
+    real = pub.Versions.take
+    monkeypatch.setattr(pub.Versions, "take", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        pub.publish(df, path, ["id"])
+    assert pub.manifest(spark, path) is None
+    monkeypatch.setattr(pub.Versions, "take", real)
+    first = pub.publish(df, path, ["id"])
+    assert first["rows"] == 100 and pub.read(spark, path).count() == 100
+    # two at once: the second finds the number taken, and the first one's version stays
+    before = pub.Versions(pub.Store(spark, path), path).current()
+    pub.publish(df.where("id < 50"), path, ["id"], force=True)
+    monkeypatch.setattr(pub.Versions, "current", lambda self: before)
+    with pytest.raises(Exception, match="exist"):
+        pub.publish(df.where("id < 10"), path, ["id"], force=True)
+    monkeypatch.undo()
+    assert pub.read(spark, path).count() == 50 and pub.verify(spark, path) == []
+    # the rows are computed once
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    pub.publish(df.coalesce(1).mapInPandas(count, "id bigint, v string"), path, ["id"], force=True)
+    assert seen.value <= 200  # written once; ranges of keys are sampled once more
+
+
+def test_stage_is_resumed_only_for_the_same_source(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(60).select("id")
+    folder, kept = pub.stage(df, path, ["id"], "s1", 4)
+    assert kept == 0
+    store = pub.Store(spark, path)
+    store.delete(f"{folder}/part=2/_SUCCESS")
+    assert pub.stage(df, path, ["id"], "s1", 4)[1] == 3 and pub.stage(df, path, ["id"], "s1", 4)[1] == 4
+    assert pub.stage(df, path, ["id"], "s2", 4)[1] == 0 and pub.stage(df, path, ["id"], None, 4)[1] == 0
+    told = pub.publish(df, path, ["id"], source="s3", parts=2, attributes={"note": "n"})
+    assert told["resumed_parts"] == 0 and told["note"] == "n" and pub.read(spark, path).count() == 60
+
+
+def test_batches_of_another_checkpoint(spark, tmp_path, rows):
+    from driftmill.streaming.ingest import ingest, keep_latest
+
+    a, b = (spark.createDataFrame(x, "id int, v int") for x in ([(1, 1)], [(2, 5), (1, 3)]))
+    a.write.parquet(f"{tmp_path}/in1")
+    b.write.parquet(f"{tmp_path}/in2")
+    for n in (1, 2):
+        assert ingest(spark, f"{tmp_path}/in{n}", a.schema, f"{tmp_path}/out", f"{tmp_path}/cp{n}") == [0]
+    assert rows(spark.read.parquet(f"{tmp_path}/out").select("id", "v")) == {(1, 1), (2, 5), (1, 3)}
+    assert rows(keep_latest(spark, f"{tmp_path}/in1", a.schema, f"{tmp_path}/kept", f"{tmp_path}/cp3", "id", "v")) == {(1, 1, 1)}
+    b.write.mode("append").parquet(f"{tmp_path}/in1")
+    for _ in range(2):
+        assert rows(keep_latest(spark, f"{tmp_path}/in1", a.schema, f"{tmp_path}/kept", f"{tmp_path}/cp3", "id", "v")) == {(1, 3, 2), (2, 5, 1)}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_greedy_batches_are_those_of_one_pass(spark, parts):
+    rng = __import__("random").Random(parts)
+    data = [(i, rng.choice([1, 2, 3, 30, 7])) for i in range(200)]
+    want, batch, n, used = {}, 0, 0, 0
+    for i, b in data:
+        if n and (n >= 6 or used + b > 25):
+            batch, n, used = batch + 1, 0, 0
+        n, used = n + 1, used + b
+        want[i] = batch
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        df = spark.createDataFrame(data, "id int, s int").repartition(3)
+        assert {r["id"]: r["batch"] for r in pub.greedy_batches(df, ["id"], "s", 6, 25).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_exports_are_the_same_bytes(spark, tmp_path):
+    df = spark.range(50).select("id", F.lit("т").alias("t"))
+    for n, k in ((1, 3), (2, 9)):
+        pub.export_json_lines(df.repartition(k), str(tmp_path / str(n)), ["id"], keep_nulls=True)
+    a, b = (b"".join(p.read_bytes() for p in sorted((tmp_path / n).glob("part-*"))) for n in "12")
+    assert a == b
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from driftmill.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.html").write_text("<p>a")
+    (tmp_path / "m.tsv").write_text("filename\turl\tsources\na.html\thttps://h/1\tx\n")
+    assert main(["raw", str(tmp_path / "in"), str(tmp_path / "out"), "--manifest", str(tmp_path / "m.tsv"), "--parts", "2", "--source-id", "s"]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["rows"] == 1
+    assert main(["verify", str(tmp_path / "out")]) == 0 and main(["verify", str(tmp_path / "none")]) == 1
+    (tmp_path / "news").mkdir()
+    (tmp_path / "news" / "1.html").write_text("<p>")
+    with pytest.raises(SystemExit, match="aren't all there"):
+        main(["news", str(tmp_path / "news"), str(tmp_path / "n"), "--last-id", "2"])
+    with pytest.raises(SystemExit):
+        main(["lines", "x", "y"])
