@@ -92,13 +92,15 @@ def missing_numbers(df: DataFrame, group: list[str], number: str) -> DataFrame:
     return listed.groupBy(*group).agg(F.array_sort(F.collect_list("__m")).alias("missing"))
 
 
-def fingerprint(df: DataFrame, path: str, digest: str) -> DataFrame:
+def fingerprint(df: DataFrame, path: str, digest: str, digits: int = 3) -> DataFrame:
     """Digest of a tree of files, from their paths and digests in order of path: files, digest.
 
-    Digests are first folded by the first three hex digits of the path's own hash, so that no task sees more than a part
-    of a very large tree, and the 4096 folds, in order, give the result.
+    Digests are first folded by the first hex digits of the path's own hash, a multiple of 3, and folds then 4096 at a
+    time, so that no task sees more than a part of a very large tree: 3 digits suit some ten million files, 6 any number.
     """
-    fold = F.substring(F.sha2(F.col(path), 256), 1, 3)
+    fold = F.substring(F.sha2(F.col(path), 256), 1, digits)
     one = lambda rows: F.sha2(F.array_join(F.transform(F.array_sort(rows), lambda r: F.concat_ws("\t", r["p"], r["d"])), "\n"), 256)
     parts = df.groupBy(fold.alias("p")).agg(F.collect_list(F.struct(F.col(path).alias("p"), F.col(digest).alias("d"))).alias("r"), F.count("*").alias("n")).select("p", one(F.col("r")).alias("d"), "n")
+    for upper in range(digits - 3, 0, -3):
+        parts = parts.groupBy(F.substring("p", 1, upper).alias("q")).agg(F.collect_list(F.struct("p", "d")).alias("r"), F.sum("n").alias("n")).select(F.col("q").alias("p"), one(F.col("r")).alias("d"), "n")
     return parts.agg(F.sum("n").alias("files"), one(F.collect_list(F.struct("p", "d"))).alias("digest"))

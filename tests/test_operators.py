@@ -296,3 +296,29 @@ def test_strict_part_merge(spark):
     assert got[1] == {"id": 1, "name": "n", "s": {"a": "x", "b": None, "c": 7}, "score": 5, "problems": []}
     assert sorted(got[2]["problems"]) == ["differs:s.a", "order:c", "repeated:c"] and sorted(got[3]["problems"]) == ["missing:b"] and sorted(got[4]["problems"]) == ["missing:a", "missing:c"]
     assert got[3]["s"] is None
+
+
+def test_fingerprint_of_folds_of_folds(spark):
+    import hashlib
+
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    data = [(f"p{i}", sha(str(i))) for i in range(400)]
+    df = spark.createDataFrame(data, "p string, d string")
+
+    def fold(rows, digits):
+        if digits < 0:
+            return rows
+        groups = {}
+        for p, d in rows:
+            groups.setdefault(p[:digits], []).append((p, d))
+        return [(q, sha("\n".join(f"{p}\t{d}" for p, d in sorted(g)))) for q, g in groups.items()]
+
+    for digits in (3, 6):
+        rows = {}
+        for p, d in data:
+            rows.setdefault(sha(p)[:digits], []).append((p, d))
+        level = [(q, sha("\n".join(f"{p}\t{d}" for p, d in sorted(g)))) for q, g in rows.items()]
+        for upper in range(digits - 3, -1, -3):
+            level = fold(level, upper)
+        got = stats.fingerprint(df.repartition(5), "p", "d", digits).first()
+        assert (got["files"], got["digest"]) == (400, level[0][1])

@@ -5,19 +5,58 @@ import pytest
 from driftmill import schemas
 from driftmill.operators import entity_page, review_page
 
-ENTITY = """<html><head><title>T</title><link rel="canonical" href="https://h/animes/z100-slug?locale=ru"><meta property="og:type" content="video"><meta property="video:duration" content="1440"><meta property="video:tag" content="a"><meta property="video:tag" content="b"></head>
-<body class="p-animes p-animes-show" data-locale="ru" data-server_time="now"><div class="l-content"><div class="block"><meta itemprop="headline" content="Name"><meta itemprop="alternativeHeadline" content="Имя"><meta itemprop="dateCreated" content="2020-01-02"><h1>Имя / Name 18+</h1></div></div>
-<div class="b-user_rate" data-entry='{"id": 100, "episodes": 0}'></div>
-<div class="b-entry-info"><div class="line"><div class="key">Тип:</div><div class="value">TV Сериал</div></div><div class="line"><div class="key">Эпизоды:</div><div class="value">3 / 12</div></div>
-<div class="line"><div class="key">Жанры:</div><div class="value"><a href="/genre/1-Drama"><span class="genre-en">Drama</span><span class="genre-ru">Драма</span></a><a href="/genre/2-X">Икс</a></div></div>
-<div class="line"><div class="key">Статус:</div><div class="value"><span class="b-anime_status_tag released" data-text="вышло"></span><span title="2020">в 2020</span></div></div></div>
-<div class="c-info-right"><a href="https://h/animes/studio/5-S" title="Аниме студии S"><img src="/s.png"></a><a href="https://h/animes/studio/5-S">again</a></div>
-<div class="description-current"><div itemprop="description">Текст <a href="/x">ссылка</a></div></div>
-<div id="rates_scores_stats" data-stats='[["10",5],["9",2],["9",3]]'></div><div itemprop="aggregateRating"><meta itemprop="ratingValue" content="8.5"><meta itemprop="ratingCount" content="1 234"></div>
-<div><div class="subheadline">Новости 7</div><a class="b-menu-line entry" href="/n/1">N</a><a class="b-menu-line entry" href="/n/1">N</a></div><div><div class="subheadline">Комментарии</div></div>
-<div class="b-comment" itemprop="comment" id="1"><div class="inner"><div class="body" itemprop="text">a</div></div><div class="b-comment" itemprop="comment" id="2"></div></div>
-<div class="b-external_link b-menu-line wikipedia"><a href="https://ru.wikipedia.org/x">W</a></div><div class="b-external_link"><a href="https://myanimelist.net/anime/77">M</a></div>
-<div class="b-db_entry-poster" data-poster_id="9"><span class="marker-text">225 х 350</span></div></body></html>"""
+def tag(name, inner="", **attrs):
+    """An element; _ in an attribute's name is -, and cls its class."""
+    told = "".join(f" {'class' if k == 'cls' else k.replace('_', '-')}='{v}'" for k, v in attrs.items())
+    return f"<{name}{told}>" if name in ("meta", "link", "img") else f"<{name}{told}>{inner}</{name}>"
+
+
+def labelled(key, value):
+    """A line of the info box."""
+    return tag("div", tag("div", key + ":", cls="key") + tag("div", value, cls="value"), cls="line")
+
+
+def heading(text, *inner):
+    """A section under its heading."""
+    return tag("div", tag("div", text, cls="subheadline") + "".join(inner))
+
+
+def entity(head, body, info):
+    """A page that counts as a whole one: its head, its parts, and the lines of its info box."""
+    return f"<html><head>{''.join(head)}</head><body class='p-animes p-animes-show' data-locale='ru' data-server_time='now'>{''.join(body)}{tag('div', ''.join(info), cls='b-entry-info')}</body></html>"
+
+
+def named(name, russian, created):
+    metas = (("dateCreated", created), ("alternativeHeadline", russian), ("headline", name))
+    return tag("div", tag("div", tag("h1", f"{russian} / {name} 18+") + "".join(tag("meta", itemprop=k, content=v) for k, v in metas), cls="block"), cls="l-content")
+
+
+def remark(n, inner="", text=None):
+    return tag("div", ("" if text is None else tag("div", tag("div", text, cls="body", itemprop="text"), cls="inner")) + inner, cls="b-comment", itemprop="comment", id=n)
+
+
+def elsewhere(url, kind=""):
+    return tag("div", tag("a", "x", href=url), cls=f"b-external_link {kind}")
+
+
+ENTITY = entity(
+    head=[tag("meta", property=f"video:{k}", content=v) for k, v in (("tag", "a"), ("tag", "b"), ("duration", "1440"))] + [tag("meta", property="og:type", content="video"), tag("link", rel="canonical", href="https://h/animes/z100-slug?locale=ru"), tag("title", "T")],
+    body=[
+        elsewhere("https://myanimelist.net/anime/77"), elsewhere("https://ru.wikipedia.org/x", "b-menu-line wikipedia"),
+        heading("Комментарии"), remark(1, remark(2), text="a"), heading("Новости 7", *[tag("a", "N", cls="b-menu-line entry", href="/n/1")] * 2),
+        tag("div", itemprop="aggregateRating", inner="".join(tag("meta", itemprop=f"rating{k}", content=v) for k, v in (("Count", "1 234"), ("Value", "8.5")))),
+        tag("div", id="rates_scores_stats", data_stats='[["10",5],["9",2],["9",3]]'),
+        tag("div", tag("div", "Текст " + tag("a", "ссылка", href="/x"), itemprop="description"), cls="description-current"),
+        tag("div", tag("a", tag("img", src="/s.png"), href="https://h/animes/studio/5-S", title="Аниме студии S") + tag("a", "again", href="https://h/animes/studio/5-S"), cls="c-info-right"),
+        tag("div", data_entry='{"id": 100, "episodes": 0}', cls="b-user_rate"), named("Name", "Имя", "2020-01-02"),
+        tag("div", tag("span", "225 х 350", cls="marker-text"), cls="b-db_entry-poster").replace(">", " data-poster_id='9'>", 1),
+    ],
+    info=[
+        labelled("Статус", tag("span", cls="b-anime_status_tag released", data_text="вышло") + tag("span", "в 2020", title="2020")),
+        labelled("Жанры", tag("a", tag("span", "Drama", cls="genre-en") + tag("span", "Драма", cls="genre-ru"), href="/genre/1-Drama") + tag("a", "Икс", href="/genre/2-X")),
+        labelled("Эпизоды", "3 / 12"), labelled("Тип", "TV Сериал"),
+    ],
+)
 
 
 def test_entity_page(spark):
