@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftmill.llm import pages
-from driftmill.session import broadcast_if_small, cut, join_hot, spread
+from driftmill.session import cut, join_hot, spread
 
 #: First words that make the path to a leaf, and to a part of a large one; share of equal words from which a sentence joins a template; sentences of a leaf.
 DEPTH, DEEP, SIMILAR, LEAF = 3, 8, 0.6, 2000
@@ -288,8 +288,10 @@ def verdicts(told: DataFrame) -> DataFrame:
     words = F.split("text", " ")
     path = lambda depth: F.concat_ws(" ", F.size(words).cast("string"), F.slice(words, 1, depth))
     short = counted.where(F.size(words) <= LONG).withColumn("leaf", path(DEPTH))
-    large = broadcast_if_small(short.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("leaf"))
-    split = short.join(large, "leaf", "left_semi").withColumn("leaf", path(DEEP)).unionByName(short.join(large, "leaf", "left_anti"))
+    large = cut(short.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("leaf"))
+    split = short
+    if n := large.count():
+        split = join_hot(short, large, "leaf", "left_semi", rows=n).withColumn("leaf", path(DEEP)).unionByName(join_hot(short, large, "leaf", "left_anti", rows=n))
     alone = counted.where(F.size(words) > LONG).withColumn("leaf", F.lit(None).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,18 +303,21 @@ def verdicts(told: DataFrame) -> DataFrame:
         def out(found: list[tuple[int, str]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.int64()), pa.array([k for _, k in found], pa.string())], names=["hash", "kind"])
 
-        now = None
+        now, whole = None, True  # whole: the leaf has shown no more sentences than a leaf may hold
         for batch in batches:
             found: list[tuple[int, str]] = []
             for leaf, h, t, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if leaf is None:
+                if leaf is not None and leaf != now:
+                    found += told_of(held)
+                    held, now, whole = [], leaf, True
+                if leaf is None or not whole:
                     if k := judge(t, n):
                         found.append((h, k))
                     continue
-                if leaf != now or len(held) > LEAF:  # what is larger than a leaf is left as it is, in the order of its rows
-                    found += told_of(held)
-                    held, now = [], leaf
                 held.append((h, t, n))
+                if len(held) > LEAF:
+                    found += told_of(held)  # each by itself
+                    held, whole = [], False
             yield out(found)
         yield out(told_of(held))
 
