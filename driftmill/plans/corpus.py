@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from driftmill.functions import text, times
 from driftmill.operators import devalue as dv
 from driftmill.operators import html as page
-from driftmill.operators import match, quality, rank, stats
+from driftmill.operators import contracts, match, quality, rank, stats
 from driftmill.session import checkpoint_dir, spread, table
 
 QUERIES: dict = {}
@@ -464,6 +464,25 @@ def comment_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return news.select("source_id", "source_file", loaded.alias("loaded"), F.col("comments_total").alias("declared")).select("*", (F.col("loaded") == F.col("declared")).alias("complete"), (F.col("declared") - F.col("loaded")).alias("missing"))
 
 
+# --- contracts of acquisition
+
+@query(r"""WITH n AS (SELECT source_id, source_file, error_status_code AS s, lower(coalesce(error_message, '')) AS m, source_id % 9 AS attempt FROM news)
+SELECT source_id, source_file, CASE WHEN s IN (408, 425, 429) OR s >= 500 THEN 'retry' WHEN regexp_matches(m, 'cannot return null for non-nullable') THEN 'recover' WHEN s IS NULL AND regexp_matches(m, 'timed? ?out|connection (reset|aborted|refused)|retry later') THEN 'retry' WHEN s IS NULL AND m = '' OR s < 400 THEN 'none' ELSE 'fatal' END AS asks,
+CASE WHEN s IN (408, 425, 429) OR s >= 500 THEN least(pow(2.0, attempt), 100.0) END AS wait FROM n""")
+def retry_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """What each failed page asks for, and how long its next attempt waits."""
+    status = F.col("error_status_code")
+    return table(spark, sf, "news").select("source_id", "source_file", contracts.error_class(status, F.col("error_message")).alias("asks"), contracts.retry_delay(status, F.lit(None).cast("string"), F.col("source_id") % 9, 100).alias("wait"))
+
+
+@query("""WITH e AS (SELECT event_id, epoch_us(ts) AS at, row_number() OVER (ORDER BY ts, event_id) AS i FROM events), t AS (SELECT e.event_id, e.at, e.at - a.at AS spacing, e.at - b.at AS span FROM e LEFT JOIN e a ON a.i = e.i - 1 LEFT JOIN e b ON b.i = e.i - 5)
+SELECT * FROM t WHERE spacing < 1000000 OR span < 60000000""")
+def rate_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """Events less than a second after the one before, or the sixth and later of any minute."""
+    log = table(spark, sf, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    return contracts.rate_breaks(log, "at", "event_id", 1_000_000, 5)
+
+
 # --- publication and streams
 
 def _folder(spark: SparkSession) -> str:

@@ -66,18 +66,48 @@ def identified(df: DataFrame, source_file: str = "source_file") -> DataFrame:
     return df.withColumns({"source_stem": stem, "source_requested_id": i["id"], "source_variant": i["kind"], "source_prefix": i["prefix"]})
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines that are neither blank nor comments, in order: line_no, value; a byte-order mark falls away.
-
-    Lines are read in splits; a line's number is its place within the split plus the lines of the splits before it.
-    """
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their numbers (line_no, value), read in splits: a line's number is its place within the split plus the lines of the splits before it."""
     raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
     rows = cut(raw)  # ids depend on the splits
     before = rows.groupBy("f", "b").agg(F.count("*").alias("n"), F.min("i").alias("first")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a split
-    told = rows.join(F.broadcast(before.select("f", "b", "first", "before")), ["f", "b"]).select((F.col("i") - F.col("first") + F.col("before") + 1).alias("line_no"), F.trim(F.regexp_replace("value", "^﻿|\r$", "")).alias("value"))
+    return rows.join(F.broadcast(before.select("f", "b", "first", "before")), ["f", "b"]).select((F.col("i") - F.col("first") + F.col("before") + 1).alias("line_no"), F.regexp_replace("value", "^\ufeff|\r$", "").alias("value"))
+
+
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are neither blank nor comments, in order: line_no, value; a byte-order mark falls away."""
+    told = _numbered(spark, path).select("line_no", F.trim("value").alias("value"))
     return told.where((F.col("value") != "") & ~F.startswith("value", F.lit("#")))
 
 
+def partial_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Whole rows of a TSV file whose writer may have died: line_no and the columns as text, an empty cell null.
+
+    The header must be the columns. A last line without its line end is left out, as the next run writes it again; any
+    other line with another number of cells is an error.
+    """
+    fs, root, _ = _base(spark, path)
+    size = fs.getFileStatus(root).getLen()
+    whole = False
+    if size:
+        stream = fs.open(root)
+        try:
+            stream.seek(size - 1)
+            whole = stream.read() == 10
+        finally:
+            stream.close()
+    rows = _numbered(spark, path)
+    head = rows.where("line_no = 1").first()
+    last = rows.agg(F.max("line_no")).first()[0]
+    if head is None or head["value"].split("\t") != columns or (last == 1 and not whole):
+        raise ValueError(f"the header of {path} isn't {columns}")
+    cells = F.split("value", "\t", -1)
+    body = rows.where((F.col("line_no") > 1) & (F.lit(whole) | (F.col("line_no") < last)))
+    wrong = F.raise_error(F.concat(F.lit(f"{path}: wrong number of cells in line "), F.col("line_no").cast("string"))).cast("array<string>")
+    told = body.select("line_no", F.when(F.size(cells) == len(columns), cells).otherwise(wrong).alias("c"))
+    return told.select("line_no", *(F.nullif(F.col("c")[i], F.lit("")).alias(c) for i, c in enumerate(columns)))
+
+
 def urls(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """A list of addresses, each once, in the order of its first line (url, line_no); and the lines that are none."""
     rows = lines(spark, path)

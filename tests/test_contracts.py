@@ -234,3 +234,28 @@ def test_command_line(spark, tmp_path, capsys):
         main(["news", str(tmp_path / "news"), str(tmp_path / "n"), "--last-id", "2"])
     with pytest.raises(SystemExit):
         main(["lines", "x", "y"])
+
+
+def test_tsv_of_a_writer_that_died(spark, tmp_path, rows):
+    t = tmp_path / "t.tsv"
+    t.write_text("a\tb\n1\t\n2\tx\n3\ty")
+    assert rows(files.partial_tsv(spark, str(t), ["a", "b"])) == {(2, "1", None), (3, "2", "x")}
+    t.write_text("a\tb\n1\t\n2\tx\n")
+    assert files.partial_tsv(spark, str(t), ["a", "b"]).count() == 2
+    for bad in ("", "a\tb", "a\tc\n"):
+        t.write_text(bad)
+        with pytest.raises(ValueError, match="header"):
+            files.partial_tsv(spark, str(t), ["a", "b"])
+    t.write_text("a\tb\n1\n2\tx\n")
+    with pytest.raises(Exception, match="cells in line 2"):
+        files.partial_tsv(spark, str(t), ["a", "b"]).collect()
+
+
+def test_rules_of_acquisition(spark, rows):
+    from driftmill.operators import contracts
+
+    df = spark.createDataFrame([(1, 429, "7", 3, ""), (2, 503, None, 3, ""), (3, 404, None, 1, "gone"), (4, None, None, 1, "Connection reset by peer"), (5, None, None, 1, None), (6, 200, None, 1, "Cannot return null for non-nullable field X"), (7, 500, "soon", 12, ""), (8, None, None, 1, "odd")], "i int, s int, after string, n int, m string")
+    got = {r["i"]: (r["c"], r["w"]) for r in df.select("i", contracts.error_class(F.col("s"), F.col("m")).alias("c"), contracts.retry_delay(F.col("s"), F.col("after"), F.col("n")).alias("w")).collect()}
+    assert got == {1: ("retry", 7.0), 2: ("retry", 8.0), 3: ("fatal", None), 4: ("retry", None), 5: ("none", None), 6: ("recover", None), 7: ("retry", 300.0), 8: ("fatal", None)}
+    log = spark.createDataFrame([(i, t) for i, t in enumerate([0, 10, 10, 40, 70, 200, 205])] + [(99, None)], "k int, t bigint")
+    assert rows(contracts.rate_breaks(log, "t", "k", 6, 3, 65).select("k", "spacing", "span")) == {(2, 0, None), (3, 30, 40), (4, 30, 60), (6, 5, 165)}

@@ -271,8 +271,9 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert go() == [1] and spark.read.parquet(str(tmp_path / "out")).count() == 4
 
 
-@pytest.mark.parametrize("plain", [0, order.PLAIN_BYTES])
+@pytest.mark.parametrize("plain", [-1, order.PLAIN_ROWS])
 def test_places_and_neighbours_both_ways(spark, rows, monkeypatch, plain):
+    monkeypatch.setattr(order, "PLAIN_ROWS", plain)
     monkeypatch.setattr(order, "PLAIN_BYTES", plain)
     rng = random.Random(5)
     data = [(rng.choice([1, 1, 1, 2, None]), i, rng.randrange(9)) for i in range(300)]
