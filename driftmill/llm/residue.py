@@ -412,6 +412,6 @@ def slots_found(anime_pages: DataFrame, news: DataFrame, raw_pages: DataFrame) -
 def body_blocks_found(raw_pages: DataFrame) -> DataFrame:
     """Blocks of body text of every page that isn't residue: url, block_md5, once each."""
     bodies = cut(pages.page_bodies(raw_pages))
-    bad = records(page_parts(bodies)).select(F.col("record_key").alias("url"))
+    bad = cut(records(page_parts(bodies)).select(F.col("record_key").alias("url")))
     blocks = bodies.select("url", F.explode("blocks").alias("b")).select("url", F.md5(F.trim(F.regexp_replace("b.text", r"(?U)[\s\x1c-\x1f]+", " "))).alias("block_md5"))
-    return blocks.join(bad, "url", "left_anti").distinct()
+    return join_hot(blocks, bad, "url", "left_anti", rows=bad.count()).distinct()
