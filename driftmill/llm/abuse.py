@@ -149,7 +149,7 @@ GROUPS: dict[str, str] = {
     "you": "будешь живешь сдохнешь ты тебя тебе тобой твой твоя твое твои твоей твоего твоих твоим твоему вы вас вам вами ваш ваша ваше ваши вашу you your yours yourself u ur youre",
     "those": "таких такие таким который этот этого этому author translator whoever автор переводчик админ фанат фанаты каждый очередной another everyone fans",
     "all": "все всех всем всю их им они all every them they always",
-    "ought": "надо нужно нельзя пора давно чтоб пусть should must deserve oughta ought",
+    "ought": "надо нужно нельзя пора давно чтоб пусть долж should must deserve oughta ought",
     "plot": "герой герои героя героем злоде персонаж сюжет сценари капитан принц механик аптекар призрак тренер наставник младш брат сез серии финал школ дубляж легенд роль hero vilain character plot script story captain prince mechanic apothecary ghost coach mentor younger brother season episode finale school dub scene legend",
     "report": "называет называют назвал кричит крикнул реплик прозвищ словом слово фраз модератор обзыва смягчил прощен удалил вежлив зал cals caled shouts nickname line moderator removed softened politer forgivenes says caling cal",
     "plea": "давайте пожалуйста прошу обсужда please dont discus lets",
@@ -157,7 +157,7 @@ GROUPS: dict[str, str] = {
 }
 #: Groups that say how a wording group is used.
 _SUBJECTS, _USES = ("insult", "demean", "threat", "hate", "sexual", "people", "offer"), ("you", "those", "all", "ought", "plot", "report", "plea", "tact", "people")
-_EXACT = frozenset("ты тебя тебе тобой вы вас вам вами u ur все их им они all them they xxx cams люди народ место рот удали уволь забань отзыв природу hot die dead пальцы pen men bin like dm сез зал fol kil cal вон ban лох чмо гад line ghost people human drop shit shity crap rot pen сук бля жоп еба пора пусть надо must should ought rat rats pig pigs beat burn black осел sight shot waste".split())
+_EXACT = frozenset("ты тебя тебе тобой вы вас вам вами u ur все их им они all them they xxx cams люди народ место рот удали уволь забань отзыв природу hot die dead пальцы pen men bin like dm сез зал fol kil cal вон ban лох чмо гад line ghost people human drop click shit shity crap rot pen сук бля жоп еба пора пусть надо must should ought rat rats pig pigs beat burn black осел sight shot waste".split())
 
 
 def _lookup() -> tuple[dict[str, set[str]], dict[str, set[str]]]:
