@@ -288,10 +288,11 @@ def verdicts(told: DataFrame) -> DataFrame:
     words = F.split("text", " ")
     path = lambda depth: F.concat_ws(" ", F.size(words).cast("string"), F.slice(words, 1, depth))
     short = counted.where(F.size(words) <= LONG).withColumn("leaf", path(DEPTH))
-    large = cut(short.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("leaf"))
     split = short
-    if n := large.count():
-        split = join_hot(short, large, "leaf", "left_semi", rows=n).withColumn("leaf", path(DEEP)).unionByName(join_hot(short, large, "leaf", "left_anti", rows=n))
+    if counted.count() > LEAF:  # else no leaf can be large
+        large = cut(short.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("leaf"))
+        if n := large.count():
+            split = join_hot(short, large, "leaf", "left_semi", rows=n).withColumn("leaf", path(DEEP)).unionByName(join_hot(short, large, "leaf", "left_anti", rows=n))
     alone = counted.where(F.size(words) > LONG).withColumn("leaf", F.lit(None).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
