@@ -172,6 +172,33 @@ def test_partitions_and_order_of_rows_change_nothing(spark, rows, monkeypatch, l
     assert got[0] == got[1] == got[2] and 0 < len(got[0]) < 120
 
 
+def test_a_template_decides_in_a_leaf_of_any_size(spark, rows):
+    """Of 2,500 different words at one place, more than LEAF, the template is the same as of four."""
+    odd = [f"could not render resource {''.join(chr(103 + int(c)) for c in str(i))} please try again" for i in range(2500)]
+    assert not residue.judge(odd[0]) and residue.classified([(s, 1) for s in odd]) == ["error"] * 2500
+    parts = spark.createDataFrame([("t", str(i), "body", s) for i, s in enumerate(odd)], "source_table string, record_key string, part string, text string")
+    assert residue.records(parts).count() == residue.records(parts.where("record_key < '2'")).count() + parts.where("record_key >= '2'").count() == 2500
+
+
+def test_templates_looked_up_are_those_of_all():
+    """The lookup by words at their places gives the template that comparing with every template of the leaf gives."""
+    rng = random.Random(3)
+    for _ in range(60):
+        n, vocabulary = rng.randrange(1, 14), [*"abcde"[: rng.randrange(2, 6)], residue.WILD]
+        tree, plain = residue.Tree(), []
+        for _ in range(80):
+            words = ["could", "not", "load"][:n] + rng.choices(vocabulary, k=n - 3 if n > 3 else 0)
+            same = [sum(map(str.__eq__, t, words)) for t in plain]
+            most = max(same, default=-1)
+            if most >= residue.SIMILAR * n:
+                best = plain[max(i for i, x in enumerate(same) if x == most)]
+                best[:] = [t if t == w else residue.WILD for t, w in zip(best, words, strict=True)]
+            else:
+                plain.append(words[:])
+            tree.add(" ".join(words))
+        assert next(iter(tree.leaves.values())) == plain
+
+
 def test_rows_of_one_key_are_judged_each_by_itself(spark, rows):
     parts = spark.createDataFrame([("t", "u", "body", "Страница не найдена"), ("t", "u", "body", "Длинный абзац о сериале, который стоит прочитать целиком. " * 20)], "source_table string, record_key string, part string, text string")
     assert rows(residue.records(parts)) == {("t", "u")}
