@@ -223,6 +223,15 @@ def test_residue_records(spark, rows):
     assert rows(residue.slots(s, ["id"], "t")) == {(1, "{{ x }}", 2)}
 
 
+def test_pages_of_one_template_have_no_body_however_many(spark):
+    """2,500 pages of one message, more than LEAF, are left out like four of them."""
+    page = "<body><main><p>Could not render resource {} please try again</p></main></body>"
+    of = [(str(i), bytearray(page.format("".join(chr(103 + int(c)) for c in str(i))).encode())) for i in range(2500)]
+    p = spark.createDataFrame([*of, ("w", bytearray(PAGE.format(charset="utf-8").encode()))], "url string, html binary")
+    for some in (p, p.where("url IN ('10', '11', '12', '13', 'w')")):
+        assert {r["url"] for r in residue.body_blocks_found(some).select("url").distinct().collect()} == {"w"}
+
+
 def test_slots_of_all_tables(spark, tmp_path, rows):
     a = "source_file string, html_title string, title_heading string, title string, description string"
     spark.createDataFrame([("f1", "x", "Имя", "{{ name }}", "Хорошее описание, todo: дописать."), ("f2", "x", "Имя", "", "fixme later")], a).write.parquet(f"{tmp_path}/anime_pages.parquet")
