@@ -232,6 +232,27 @@ def test_pages_of_one_template_have_no_body_however_many(spark):
         assert {r["url"] for r in residue.body_blocks_found(some).select("url").distinct().collect()} == {"w"}
 
 
+def test_a_template_decides_on_a_sentence_of_any_length(spark, rows):
+    """47 words of which three change: by itself each is none, its template is a message, as of a short one."""
+    long = "could not load resource {} please try again later or contact the administrator of this site and if the page is unavailable check your connection and wait until the server is back or return to the home page {} and try to load the resource {} again"
+    said = [long.format(*w) for w in ("glimmer aspen plume".split(), "velvet quietus otter".split(), "harborlight moss fern".split(), "juniper wren yarrow".split())]
+    assert len(said[0].split()) == 47 and not any(residue.judge(s) for s in said)
+    parts = spark.createDataFrame([("t", str(i), "body", s) for i, s in enumerate(said)], "source_table string, record_key string, part string, text string")
+    assert rows(residue.records(parts)) == {("t", str(i)) for i in range(4)}
+
+
+def test_pages_without_body_are_those_of_p7(spark, tmp_path, rows):
+    """One page whose message is told only beside three news of the same template: p7_found lists it, so p5_found has no block of it."""
+    said = [f"Could not render resource {w} please try again" for w in ("glimmer", "harborlight", "quietus", "velvet")]
+    n = "source_id bigint, page_title string, title string, foreword string, content_text string, content_html string"
+    spark.createDataFrame([(i, None, None, None, s, None) for i, s in enumerate(said[1:])], n).write.parquet(f"{tmp_path}/news.parquet")
+    spark.createDataFrame([], "source_file string, html_title string, title_heading string, title string, description string").write.parquet(f"{tmp_path}/anime_pages.parquet")
+    p = [("u", bytearray(f"<body><main><p>{said[0]}</p></main></body>".encode())), ("w", bytearray(PAGE.format(charset="utf-8").encode()))]
+    spark.createDataFrame(p, "url string, html binary").write.parquet(f"{tmp_path}/raw_pages.parquet")
+    assert {k for t, k in rows(catalogue.p7_found(spark, str(tmp_path))) if t == "raw_pages"} == {"u"}
+    assert {u for u, _ in rows(catalogue.p5_found(spark, str(tmp_path)))} == {"w"}
+
+
 def test_slots_of_all_tables(spark, tmp_path, rows):
     a = "source_file string, html_title string, title_heading string, title string, description string"
     spark.createDataFrame([("f1", "x", "Имя", "{{ name }}", "Хорошее описание, todo: дописать."), ("f2", "x", "Имя", "", "fixme later")], a).write.parquet(f"{tmp_path}/anime_pages.parquet")
