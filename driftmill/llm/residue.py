@@ -5,10 +5,11 @@ half of its words are words that messages are made of, as its words of meaning o
 and unfilled slots make up less than SHARE of the characters can't be residue and goes no further, so ordinary texts leave
 the stage that reads them with nothing. Equal candidates are counted, and go through a fixed-depth prefix tree: by number of
 words, then by the first DEPTH words with numbers masked; within a leaf, most frequent first, a sentence joins the most
-similar template, and places where the two differ become wildcards. A leaf may hold any number of sentences of any length: its templates
-are looked up by the words at their places, and of a sentence only its hash and the number of its template are held until
-the leaf ends. Every template is classified once, by a model fitted on SEEDS and PLAIN over its words, its fixed wording and the number of parts that it stands in,
-and verdicts go back to the sentences by hash. A sentence that is a message by itself stays one, whatever its template.
+similar template, and places where the two differ become wildcards. A leaf may hold any number of sentences of any
+length: its templates are looked up by the words at their places, and of a sentence only its hash and the number of its
+template are held until the leaf ends. Every template is classified once, by a model fitted on SEEDS and PLAIN over its
+words, its fixed wording and the number of parts that it stands in, and verdicts go back to the sentences by hash. A
+sentence that is a message by itself stays one, whatever its template.
 The tree is built from counts of all records, so results don't depend on partitions or on the order of rows. Slots that
 were never filled are found apart from that, inside ordinary records too.
 
@@ -198,14 +199,16 @@ class Tree:
 
     def __init__(self, depth: int = DEPTH) -> None:
         self.leaves: dict[tuple, list[list[str]]] = {}
-        self.at: dict[tuple, dict[tuple[int, str], list[int]]] = {}  # of a leaf: templates that have or had a word at a place
+        self.at: dict[tuple, dict[tuple[int, str], array]] = {}  # of a leaf: templates that have or had a word at a place
         self.depth = depth
 
     def find(self, sentence: str) -> tuple[list[list[str]], int]:
         """Leaf and number of the template that the sentence belongs to, which it widens.
 
         A template that is similar enough agrees in one of any places that are more than may differ, so only those are
-        compared that have the sentence's word at one of that many places, where the fewest templates have it.
+        compared that have the sentence's word at one of that many places, where the fewest templates have it. Where these
+        are many, as among sentences of few different words, the places that a template has or had in common are counted
+        first, and only those are compared that may have enough; the result is the same.
         """
         words = sentence.split(" ")
         path = (len(words), *words[: self.depth])
@@ -216,7 +219,12 @@ class Tree:
         if differ > len(places):
             near = range(len(leaf))
         else:
-            near = sorted(set().union(*sorted((at.get((i, words[i]), ()) for i in places), key=len)[:differ]))
+            held = sorted((at.get((i, words[i]), ()) for i in places), key=len)
+            if sum(map(len, held[:differ])) * len(words) <= sum(map(len, held)) // 16 + 1000:
+                near = sorted(set().union(*held[:differ]))
+            else:
+                shared = np.bincount(np.concatenate([np.frombuffer(x, np.int32) for x in held if x]))
+                near = np.flatnonzero(shared + self.depth >= most).tolist()
         for n in near:
             same = sum(map(str.__eq__, leaf[n], words))
             if same >= most:
@@ -225,13 +233,13 @@ class Tree:
             leaf.append(words)
             best = len(leaf) - 1
             for i in places:
-                at.setdefault((i, words[i]), []).append(best)
+                at.setdefault((i, words[i]), array("i")).append(best)
         elif most < len(words):
             template = leaf[best]
             for i in places:
                 if template[i] != words[i] and template[i] != WILD:
                     template[i] = WILD
-                    at.setdefault((i, WILD), []).append(best)
+                    at.setdefault((i, WILD), array("i")).append(best)
         return leaf, best
 
     def add(self, sentence: str) -> list[str]:

@@ -241,6 +241,25 @@ def test_a_template_decides_on_a_sentence_of_any_length(spark, rows):
     assert rows(residue.records(parts)) == {("t", str(i)) for i in range(4)}
 
 
+@pytest.mark.parametrize("n", [20, 47, 90])
+def test_templates_counted_in_a_large_leaf_are_those_of_all(n):
+    """Sentences of few different words, where nearly every template shares a word: the same templates as comparing with each."""
+    rng = random.Random(n)
+    tree, plain, base = residue.Tree(), [], rng.choices("abcd", k=n - 3)
+    for _ in range(400):
+        kept = rng.choice((0.2, 0.6, 0.9))
+        words = ["could", "not", "load"] + [w if rng.random() < kept else rng.choice("abcdefgh") for w in base]
+        same = [sum(map(str.__eq__, t, words)) for t in plain]
+        most = max(same, default=-1)
+        if most >= residue.SIMILAR * n:
+            best = plain[max(i for i, x in enumerate(same) if x == most)]
+            best[:] = [t if t == w else residue.WILD for t, w in zip(best, words, strict=True)]
+        else:
+            plain.append(words[:])
+        tree.add(" ".join(words))
+    assert next(iter(tree.leaves.values())) == plain and 100 < len(plain) < 400
+
+
 def test_pages_without_body_are_those_of_p7(spark, tmp_path, rows):
     """One page whose message is told only beside three news of the same template: p7_found lists it, so p5_found has no block of it."""
     said = [f"Could not render resource {w} please try again" for w in ("glimmer", "harborlight", "quietus", "velvet")]
