@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 import unicodedata
@@ -83,6 +84,47 @@ def test_every_item_of_a_shared_stretch_is_found(spark, rows, far):
     assert rows(winnow.leaks(d, bench, limit=limit, best=True)) == {(0, 1)}
 
 
+def holds(doc, item):
+    """The definition by brute force: from every equal word on, the item word by word, each equal, changed or missing."""
+    for j0, i0 in itertools.product(range(len(item)), range(len(doc))):
+        states = {i0: 0}  # place in the document: fewest errors
+        for j in range(j0, len(item)):
+            size, after = j - j0 + 1, {}
+            for i, errors in states.items():
+                same = i < len(doc) and doc[i] == item[j]
+                if same and size >= winnow.MIN_WORDS and errors <= size // winnow.PER_ERROR:
+                    return True
+                steps = [(i + 1, errors)] if same else [(i + 1, errors + 1), (i, errors + 1)] if size > 1 else []
+                for i2, e2 in [*steps, (i, errors + 1)] if size > 1 else steps:
+                    if e2 <= len(item) // winnow.PER_ERROR:
+                        after[i2] = min(e2, after.get(i2, e2))
+            states = after
+    return False
+
+
+def test_errors_side_by_side_are_extended_exactly():
+    """A changed beside a missing word, or one equal word between two errors, as brute force has it."""
+    item = WORDS[:16]
+    for doc in ([*item[:7], "other", *item[9:]], [*item[:5], item[6], "other", *item[8:]]):
+        assert holds(doc, item)
+        assert winnow.Index([(1, " ".join(item))]).search([" ".join(doc)], {}, best=False) == [(0, 1)]
+    rng = random.Random(21)
+    held = 0
+    for _ in range(400):
+        item, doc, j = WORDS[: rng.choice([16, 24, 32])], ["x"] * rng.randrange(3), rng.randrange(3)
+        while j < len(item):
+            run = rng.randrange(1, 11)
+            doc += item[j : j + run]
+            j += run
+            for _ in range(rng.randrange(1, 4)):
+                doc += rng.choice([[], ["x"]])
+                j += 1
+        want = holds(doc, item)
+        held += want
+        assert winnow.Index([(1, " ".join(item))]).search([" ".join(doc)], {}, best=False) == [(0, 1)] * want, (doc, item)
+    assert 20 < held < 380
+
+
 def test_far_in_blocks_with_hot_wording(spark, rows):
     """A third of all texts share one item, keys repeat and are null, and items come in blocks of a few words."""
     rng = random.Random(12)
